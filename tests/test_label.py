@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as driver
+import tollbook as tb
+from conftest import SMALL
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_map_is_broadcast_and_a_large_one_is_not(spark, paytypes):
+    clean = tb.clean_cdr(driver.cdr_rows(spark, SMALL))
+    small = tb.label_paytype(clean, paytypes)
+    large = tb.label_paytype(clean, paytypes, broadcast_bytes=0)
+    assert "BroadcastHashJoin" in plan_of(small)
+    assert "SortMergeJoin" in plan_of(large) and "Broadcast" not in plan_of(large)
+    columns = ["event_time", "paytype", "debit", "paytype_label"]
+    assert sorted(map(str, small.select(columns).collect())) == sorted(map(str, large.select(columns).collect()))
+    assert set(large.columns) == set(small.columns)
+
+
+def test_hot_code_spreads_over_salts(spark, paytypes):
+    rows = spark.range(10_000).selectExpr("id", "0 AS paytype")
+    joined = tb.label_paytype(rows, paytypes, broadcast_bytes=0)
+    assert "_salt" in plan_of(joined)
+    assert joined.filter("paytype_label = 'Prepaid'").count() == 10_000
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_unknown_and_null_codes_have_no_label(spark, limit):
+    labels = spark.createDataFrame([(0, "Prepaid"), (None, "nothing"), (None, "at all")], "paytype int, paytype_label string")
+    rows = spark.createDataFrame([(0,), (5,), (None,)], "paytype int")
+    got = tb.label_paytype(rows, labels, broadcast_bytes=limit).select("paytype", "paytype_label").collect()
+    assert sorted(map(tuple, got), key=str) == [(0, "Prepaid"), (5, None), (None, None)]
+
+
+def test_map_binds_by_position_and_types_its_key(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("any.name,other,third\n0,Prepaid,a\n1.0,Postpaid,b\nx,None,c\n")
+    labels = tb.read_paytype_map(spark, str(tmp_path / "m.csv"))
+    assert labels.dtypes == [("paytype", "int"), ("paytype_label", "string")]
+    assert sorted(map(tuple, labels.collect()), key=str) == [(0, "Prepaid"), (1, "Postpaid"), (None, "None")]
+
+
+def test_map_with_two_labels_for_a_code_is_refused(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("PayType,value\n0,Prepaid\n0,Other\n")
+    with pytest.raises(ValueError, match="repeats a code"):
+        tb.read_paytype_map(spark, str(tmp_path / "m.csv"))
+
+
+def test_codes_that_share_a_label_merge(spark, tmp_path):
+    labels = spark.createDataFrame([(0, "Any"), (1, "Any"), (2, "Any")], "paytype int, paytype_label string")
+    cdr = driver.cdr_rows(spark, SMALL)
+    report = tb.batch_report("count_revenue_15min", cdr, labels)
+    assert [r[0] for r in report.select("Pay_type").distinct().collect()] == ["Any"]
+    assert report.count() == report.select("RECORD_DATE").distinct().count()
