@@ -79,8 +79,8 @@ def dirty_cdr_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def paytype_map(spark: SparkSession) -> DataFrame:
-    """The payment-type map, read from a CSV file in the shared folder."""
+def _paytype_file(spark: SparkSession) -> str:
+    """CSV file of the payment-type map, in the shared folder."""
 
     def write() -> str:
         path = new_path(spark, "paytypes")
@@ -88,7 +88,12 @@ def paytype_map(spark: SparkSession) -> DataFrame:
         rows.coalesce(1).write.option("header", True).csv(path)
         return path
 
-    return tb.read_paytype_map(spark, _once(spark, "paytypes", make=write))
+    return _once(spark, "paytypes", make=write)
+
+
+def paytype_map(spark: SparkSession) -> DataFrame:
+    """The payment-type map."""
+    return tb.read_paytype_map(spark, _paytype_file(spark))
 
 
 def _cdr_files(spark: SparkSession, sf_dir: str) -> str:
@@ -165,10 +170,8 @@ def _read_report(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 def _batch_job(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
     def run() -> tuple[str, dict[str, int]]:
-        map_path, out = new_path(spark, "map"), new_path(spark, "batch")
-        rows = spark.createDataFrame(PAYTYPES, "PayType string, value string")
-        rows.coalesce(1).write.option("header", True).csv(map_path)
-        return out, tb.run_batch(spark, _cdr_files(spark, sf_dir), map_path, out)
+        out = new_path(spark, "batch")
+        return out, tb.run_batch(spark, _cdr_files(spark, sf_dir), _paytype_file(spark), out)
 
     return _once(spark, "batch", sf_dir, make=run)
 
@@ -191,7 +194,7 @@ def _drain(spark: SparkSession, name: str, cdr_path: str, out: str, checkpoint:
     ).awaitTermination()
 
 
-def q_stream_report(name: str, spark: SparkSession, sf_dir: str, mode: str = "complete") -> DataFrame:
+def q_stream_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report stream over the CSV files, about a quarter of them per micro-batch."""
     cdr_path, out = _cdr_files(spark, sf_dir), new_path(spark, "stream")
     files = len(spark.read.text(cdr_path).inputFiles())

@@ -1,0 +1,244 @@
+from __future__ import annotations
+
+from contextlib import contextmanager
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+import __spark_entry__ as driver
+import tollbook as tb
+from conftest import SMALL
+from fixtures import DIRTY, report_lines, write_cdr
+from tollbook import streaming
+from tollbook.streaming import INTAKE_METRICS, report_sink
+
+NOW = {"availableNow": True}
+
+
+def drain(spark, name, tmp_path, paytypes=None, out="out", **options):
+    query = tb.stream_report(
+        spark, name, str(tmp_path / "in"), str(tmp_path / out), str(tmp_path / f"{out}-state"), paytypes,
+        trigger=NOW, **options,
+    )
+    query.awaitTermination()
+    return query
+
+
+def times(*rows):
+    """Usage records of one payment type, from (hh:mm, reported amount)."""
+    return [(f"2020/08/30 {at}:00", "0", amount * 10) for at, amount in rows]
+
+
+def windows(directory):
+    """Revenue by window start of a written report."""
+    if not directory.exists():
+        return {}
+    return {line[11:16]: float(line.split(",")[2]) for line in report_lines(directory)[1:]}
+
+
+@pytest.mark.parametrize("name", list(tb.REPORTS))
+def test_stream_equals_batch(spark, ansi, paytypes, tmp_path, name):
+    """Over several micro-batches of real files: with and without a header, dirty rows in them."""
+    rows = [tuple(r) for r in driver.cdr_rows(spark, SMALL).select("RECORD_DATE", "PAYTYPE_515", "DEBIT_AMOUNT_42").collect()]
+    rows += [row for row, _ in DIRTY]
+    for i in range(4):
+        write_cdr(tmp_path / "in", f"{i}.csv", rows[i::4], order=i)
+        write_cdr(tmp_path / "in-bare", f"{i}.csv", rows[i::4], order=i, header=False)
+    query = drain(spark, name, tmp_path, paytypes, max_files=1)
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 4
+    report = tb.REPORTS[name]
+    expected = tb.batch_report(name, tb.read_cdr(spark, str(tmp_path / "in")), paytypes)
+    tb.write_report(expected, str(tmp_path / "batch"), report.sort_by)
+    assert report_lines(tmp_path / "out") == report_lines(tmp_path / "batch")
+
+    query = tb.stream_report(
+        spark, name, str(tmp_path / "in-bare"), str(tmp_path / "bare"), str(tmp_path / "bare-state"), paytypes, trigger=NOW
+    )
+    query.awaitTermination()
+    assert report_lines(tmp_path / "bare") == report_lines(tmp_path / "batch")
+
+
+def test_progress_counts_rows_read_and_kept(spark, tmp_path):
+    write_cdr(tmp_path / "in", "a.csv", [row for row, _ in DIRTY])
+    progress = [p for p in drain(spark, "daily_revenue", tmp_path).recentProgress if p.numInputRows]
+    seen = progress[0].observedMetrics[INTAKE_METRICS]
+    assert (seen.input_rows, seen.clean_rows) == (len(DIRTY) + 1, sum(1 for _, kept in DIRTY if kept))
+
+
+def test_restart_resumes_from_the_checkpoint(spark, tmp_path):
+    for i in range(3):
+        write_cdr(tmp_path / "in", f"{i}.csv", times(("00:01", i + 1)), order=i)
+    drain(spark, "revenue_15min", tmp_path)
+    assert windows(tmp_path / "out") == {"00:00": 6}
+    write_cdr(tmp_path / "in", "3.csv", times(("00:02", 7)), order=3)
+    again = drain(spark, "revenue_15min", tmp_path)
+    assert windows(tmp_path / "out") == {"00:00": 13}
+    assert sum(p.numInputRows for p in again.recentProgress) == 2  # the new record and its header line
+    third = drain(spark, "revenue_15min", tmp_path)
+    assert sum(p.numInputRows for p in third.recentProgress) == 0
+    assert windows(tmp_path / "out") == {"00:00": 13}
+
+
+LATE = [
+    times(("00:01", 1)),
+    times(("12:00", 3)),
+    times(("12:01", 4)),
+    times(("00:04", 1000)),
+    times(("18:00", 9)),
+]
+
+
+def late_files(tmp_path):
+    for i, rows in enumerate(LATE):
+        write_cdr(tmp_path / "in", f"{i}.csv", rows, order=i)
+
+
+def dropped(query):
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
+def test_complete_mode_counts_late_rows(spark, tmp_path):
+    late_files(tmp_path)
+    query = drain(spark, "revenue_15min", tmp_path, max_files=1)
+    assert windows(tmp_path / "out") == {"00:00": 1001, "12:00": 7, "18:00": 9}
+    assert dropped(query) == 0
+
+
+def test_append_mode_drops_late_rows_and_writes_closed_windows_once(spark, tmp_path):
+    late_files(tmp_path)
+    query = drain(spark, "revenue_15min", tmp_path, max_files=1, output_mode="append")
+    parts = {p.name: windows(p) for p in (tmp_path / "out").glob("batch_id=*")}
+    assert sorted(map(str, parts.values())) == ["{'00:00': 1.0}", "{'12:00': 7.0}"]
+    assert dropped(query) == 1
+
+
+def test_update_mode_writes_changed_windows(spark, tmp_path):
+    late_files(tmp_path)
+    query = drain(spark, "revenue_15min", tmp_path, max_files=1, output_mode="update")
+    parts = [windows(tmp_path / f"out/batch_id={i}") for i in range(5)]
+    assert parts == [{"00:00": 1}, {"12:00": 3}, {"12:00": 7}, {}, {"18:00": 9}]
+    assert dropped(query) == 1
+
+
+@pytest.mark.parametrize("name", ["minmax_15min", "count_revenue_15min"])
+def test_other_windowed_reports_run_in_append_mode(spark, paytypes, tmp_path, name):
+    late_files(tmp_path)
+    drain(spark, name, tmp_path, paytypes, max_files=1, output_mode="append")
+    starts = [line[11:16] for line in report_lines(tmp_path / "out") if line.startswith("2020")]
+    assert sorted(starts) == ["00:00", "12:00"]
+
+
+def test_daily_report_cannot_append(spark, tmp_path):
+    with pytest.raises(ValueError, match="append"):
+        drain(spark, "daily_revenue", tmp_path, output_mode="append")
+
+
+def test_daily_report_in_update_mode_counts_late_rows(spark, tmp_path):
+    """Its key is a text without event time, so the watermark does not close days."""
+    late_files(tmp_path)
+    drain(spark, "daily_revenue", tmp_path, max_files=1, output_mode="update")
+    last = report_lines(tmp_path / "out/batch_id=4")
+    assert last == ["date,daily_revenue", "2020-08-30,1017.000000"]
+
+
+def test_labelled_stream_asks_for_the_map(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with pytest.raises(ValueError, match="payment-type map"):
+        drain(spark, "count_revenue_15min", tmp_path)
+
+
+def test_empty_batch_keeps_the_earlier_result(spark, tmp_path):
+    report = tb.REPORTS["revenue_15min"]
+    sink = report_sink(str(tmp_path / "out"), report)
+    rows = spark.sql("SELECT TIMESTAMP'2020-08-30 00:00:00' AS RECORD_DATE, 0 AS paytype, 1.5 AS revenue")
+    sink(rows, 0)
+    sink(rows.limit(0), 1)
+    assert windows(tmp_path / "out") == {"00:00": 1.5}
+
+
+def test_first_batch_without_usable_rows_writes_nothing(spark, tmp_path):
+    write_cdr(tmp_path / "in", "a.csv", [row for row, kept in DIRTY if not kept])
+    drain(spark, "revenue_15min", tmp_path)
+    assert not (tmp_path / "out").exists()
+
+
+def test_repeated_batch_leaves_the_same_files(spark, tmp_path):
+    report = tb.REPORTS["revenue_15min"]
+    sink = report_sink(str(tmp_path / "out"), report, output_mode="append")
+    rows = spark.sql("SELECT TIMESTAMP'2020-08-30 00:00:00' AS RECORD_DATE, 0 AS paytype, 1.5 AS revenue")
+    sink(rows, 3)
+    sink(rows, 3)
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["batch_id=3"]
+    assert len(report_lines(tmp_path / "out")) == 2
+
+
+def test_preview_is_printed_on_demand(spark, tmp_path, capsys):
+    report = tb.REPORTS["revenue_15min"]
+    rows = spark.sql("SELECT TIMESTAMP'2020-08-30 00:00:00' AS RECORD_DATE, 0 AS paytype, 1.5 AS revenue")
+    report_sink(str(tmp_path / "a"), report)(rows, 0)
+    assert capsys.readouterr().out == ""
+    report_sink(str(tmp_path / "b"), report, preview_rows=10)(rows, 0)
+    assert "2020-08-30 00:00:00" in capsys.readouterr().out
+
+
+@contextmanager
+def failing_sink(monkeypatch):
+    def broken(*args, **kwargs):
+        raise RuntimeError("no space left")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(streaming.report_stream, "write_report", broken)
+        yield
+
+
+def test_sink_error_fails_the_query_and_a_restart_makes_up_for_it(spark, tmp_path, monkeypatch):
+    write_cdr(tmp_path / "in", "a.csv", times(("00:01", 1)))
+    with failing_sink(monkeypatch), pytest.raises(StreamingQueryException, match="no space left"):
+        drain(spark, "revenue_15min", tmp_path)
+    assert windows(tmp_path / "out") == {}
+    drain(spark, "revenue_15min", tmp_path)
+    assert windows(tmp_path / "out") == {"00:00": 1}
+
+
+def test_query_name_and_zone(spark, tmp_path):
+    write_cdr(tmp_path / "in", "a.csv", times(("23:30", 1)))
+    query = drain(spark, "daily_revenue", tmp_path, query_name="daily_revenue_stream", zone="Asia/Kathmandu")
+    assert query.name == "daily_revenue_stream"
+    assert report_lines(tmp_path / "out") == ["date,daily_revenue", "2020-08-30,1.000000"]
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, tmp_path):
+    write_cdr(tmp_path / "in", "a.csv", times(("00:01", 1)))
+    query = tb.stream_report(
+        spark, "revenue_15min", str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"),
+        trigger={"processingTime": "1 second"},
+    )
+    try:
+        query.processAllAvailable()
+        write_cdr(tmp_path / "in", "b.csv", times(("00:02", 2)))
+        query.processAllAvailable()
+        assert windows(tmp_path / "out") == {"00:00": 3}
+    finally:
+        query.stop()
+
+
+def test_stream_parses_once_and_reads_used_columns(spark, paytypes, tmp_path):
+    write_cdr(tmp_path / "in", "a.csv", times(("00:01", 1)))
+    query = drain(spark, "count_revenue_15min", tmp_path, paytypes)
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("gettimestamp(") == 1
+    assert "ReadSchema: struct<RECORD_DATE:string,PAYTYPE_515:string,DEBIT_AMOUNT_42:double>" in plan
+    assert plan.count("BroadcastHashJoin") == 1
+
+
+def test_stream_with_a_map_too_large_to_broadcast(spark, paytypes, tmp_path, monkeypatch):
+    monkeypatch.setattr(streaming.report_stream, "label_paytype", lambda rows, labels: tb.label_paytype(rows, labels, 0))
+    rows = [(f"2020/08/30 00:0{i}:00", str(i % 3), 10 * i) for i in range(9)]
+    write_cdr(tmp_path / "in", "a.csv", rows)
+    drain(spark, "count_revenue_15min", tmp_path, paytypes)
+    assert report_lines(tmp_path / "out")[1:] == [
+        "2020-08-30T00:00:00.000Z,,3,15.000000",
+        "2020-08-30T00:00:00.000Z,Postpaid,3,12.000000",
+        "2020-08-30T00:00:00.000Z,Prepaid,3,9.000000",
+    ]

@@ -77,11 +77,12 @@ def stream_report(
     """Starts a report over the CSV files arriving in ``cdr_path``.
 
     ``complete`` (the default) counts every record however late, rewrites the
-    whole report per trigger and keeps all windows in state. ``append`` and
-    ``update`` drop records older than the watermark and forget closed windows;
-    ``append`` writes a window once, when it is closed, and is not possible for a
-    report without a window. ``trigger`` holds the arguments of
-    ``DataStreamWriter.trigger``, 30 seconds of processing time by default.
+    whole report per trigger and keeps all windows in state. For the windowed
+    reports, ``append`` and ``update`` drop records whose window the watermark has
+    closed and forget that window; ``append`` writes a window once, when it
+    closes. The daily report has no window: it cannot append, and ``update``
+    counts late records as complete mode does. ``trigger`` holds the arguments
+    of ``DataStreamWriter.trigger``, 30 seconds of processing time by default.
 
     Rows read and kept are in the progress under ``observedMetrics``; they are for
     monitoring, as a repeated task counts again. The number of state partitions is
