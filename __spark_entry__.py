@@ -92,8 +92,12 @@ def _paytype_file(spark: SparkSession) -> str:
 
 
 def paytype_map(spark: SparkSession) -> DataFrame:
-    """The payment-type map."""
-    return tb.read_paytype_map(spark, _paytype_file(spark))
+    """The payment-type map; the label join checks it."""
+    return tb.read_paytype_map(spark, _paytype_file(spark), check=False)
+
+
+def _labels_for(name: str, spark: SparkSession) -> DataFrame | None:
+    return paytype_map(spark) if tb.REPORTS[name].labelled else None
 
 
 def _cdr_files(spark: SparkSession, sf_dir: str) -> str:
@@ -138,7 +142,7 @@ def q_paytype_label_join_large_map(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def q_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(tb.batch_report(name, cdr_rows(spark, sf_dir), paytype_map(spark)))
+    return _plain(tb.batch_report(name, cdr_rows(spark, sf_dir), _labels_for(name, spark)))
 
 
 def q_dirty_count_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,10 +192,9 @@ def q_batch_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drain(spark: SparkSession, name: str, cdr_path: str, out: str, checkpoint: str, **options: object) -> None:
     """Runs a report stream over the files that are there now."""
-    labels = paytype_map(spark) if tb.REPORTS[name].labelled else None
-    tb.stream_report(
-        spark, name, cdr_path, out, checkpoint, labels, trigger={"availableNow": True}, **options
-    ).awaitTermination()
+    now = {"availableNow": True}
+    labels = _labels_for(name, spark)
+    tb.stream_report(spark, name, cdr_path, out, checkpoint, labels, trigger=now, **options).awaitTermination()
 
 
 def q_stream_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import json
+import subprocess
+import sys
+
+import pytest
+
+import tollbook as tb
+from conftest import ROOT
+from fixtures import report_lines, write_cdr
+from tollbook import cli
+
+ROWS = [("2020/08/30 00:01:00", "0", 10), ("2020/08/30 00:20:00", "1", 20), ("bad", "0", 1)]
+
+
+@pytest.fixture(autouse=True)
+def no_settings(monkeypatch):
+    for name, _ in (cli.INPUT, cli.PAYTYPE_MAP, cli.OUTPUT, cli.CHECKPOINTS, cli.TRIGGER, cli.WATERMARK, cli.USE_STORE):
+        monkeypatch.delenv(name, raising=False)
+
+
+@pytest.fixture
+def files(tmp_path):
+    write_cdr(tmp_path / "in", "a.csv", ROWS[:2], order=0)
+    write_cdr(tmp_path / "in", "b.csv", ROWS[2:], order=1)
+    (tmp_path / "map.csv").write_text("PayType,value\n0,Prepaid\n1,Postpaid\n")
+    return tmp_path
+
+
+def test_batch_by_options_and_stream_by_environment_agree(spark, files, monkeypatch, capsys):
+    cli.main(["batch", "--input", f"{files}/in", "--map", f"{files}/map.csv", "--output", f"{files}/batch"], spark)
+    counts = json.loads(capsys.readouterr().out)
+    assert (counts["input_rows"], counts["clean_rows"], counts["rejected_rows"]) == (3, 2, 1)
+    for name, value in {
+        "INPUT_DIR": f"{files}/in",
+        "REF_MAP_PATH": f"{files}/map.csv",
+        "OUTPUT_BASE": f"{files}/stream/",
+        "CHECKPOINT_BASE": f"{files}/state/",
+    }.items():
+        monkeypatch.setenv(name, value)
+    for name in tb.REPORTS:
+        cli.main(["stream", name, "--available-now", "--preview", "10"], spark)
+        assert report_lines(files / "stream" / name) == report_lines(files / "batch" / name)
+        assert (files / "state" / name / "commits").exists()
+
+
+@pytest.mark.parametrize("bound", [["--max-files", "1"], ["--max-bytes", "100"]])
+def test_micro_batches_are_bounded(spark, files, bound):
+    paths = ["--input", f"{files}/in", "--output", f"{files}/out", "--checkpoints", f"{files}/state"]
+    cli.main(["stream", "revenue_15min", "--available-now", "--mode", "update", *paths, *bound], spark)
+    assert sorted(p.name for p in (files / "state/revenue_15min/commits").glob("[0-9]*")) >= ["0", "1"]
+
+
+def test_missing_settings_are_named(spark, files, capsys):
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["batch", "--input", "x", "--map", "y"])
+    assert "--output" in capsys.readouterr().err
+    paths = ["--input", f"{files}/in", "--output", f"{files}/out", "--checkpoints", f"{files}/state"]
+    with pytest.raises(ValueError, match="REF_MAP_PATH"):
+        cli.main(["stream", "count_revenue_15min", *paths], spark)
+
+
+def test_defaults_of_a_stream():
+    args = cli.parser().parse_args(["stream", "daily_revenue", "--input", "i", "--output", "o", "--checkpoints", "c"])
+    assert (args.trigger, args.watermark, args.mode, args.max_files) == ("30 seconds", "10 minutes", "complete", 5)
+
+
+def test_object_store_settings_come_from_the_environment(monkeypatch):
+    assert cli.store_conf() == {}
+    monkeypatch.setenv("USE_MINIO", "TRUE")
+    with pytest.raises(ValueError, match="MINIO_ENDPOINT"):
+        cli.store_conf()
+    for name in ("ENDPOINT", "ACCESS", "SECRET"):
+        monkeypatch.setenv(f"MINIO_{name}", f"https://{name}")
+    assert cli.store_conf() == tb.s3a_conf("https://ENDPOINT", "https://ACCESS", "https://SECRET", ssl=True)
+
+
+def test_failed_job_exits_with_an_error(files):
+    command = [sys.executable, str(ROOT / "run_reports.py"), "batch", "--input", f"{files}/missing"]
+    command += ["--map", f"{files}/map.csv", "--output", f"{files}/out"]
+    done = subprocess.run(command, capture_output=True, text=True, timeout=300)
+    assert done.returncode != 0
+    assert "PATH_NOT_FOUND" in done.stderr

@@ -12,14 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fields import WINDOW_LENGTH, amount, day_key, total
+from ..functions.fields import WINDOW_LENGTH, amount, day_key, day_text, total
 
 
 def daily_revenue(rows: DataFrame) -> DataFrame:
     """Revenue per calendar day of the session zone."""
-    return rows.groupBy(day_key(F.col("event_time")).alias("date")).agg(
+    daily = rows.groupBy(day_key(F.col("event_time")).alias("day")).agg(
         total(F.sum("debit_sum")).alias("daily_revenue")
     )
+    return daily.select(day_text(F.col("day")).alias("date"), "daily_revenue")
 
 
 def _per_window(rows: DataFrame, key: Column, *measures: Column) -> DataFrame:

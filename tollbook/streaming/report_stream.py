@@ -73,6 +73,7 @@ def stream_report(
     zone: str | None = "UTC",
     query_name: str | None = None,
     preview_rows: int = 0,
+    source_options: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Starts a report over the CSV files arriving in ``cdr_path``.
 
@@ -92,7 +93,7 @@ def stream_report(
     if output_mode == "append" and not report.windowed:
         raise ValueError(f"report {name} has no window to close, so it cannot run in append mode")
     with session_zone(spark, zone):
-        cdr = read_cdr_stream(spark, cdr_path, max_files)
+        cdr = read_cdr_stream(spark, cdr_path, max_files, **(source_options or {}))
         writer = (
             streaming_report(name, cdr, paytype_map, watermark)
             .writeStream.outputMode(output_mode)
