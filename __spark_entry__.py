@@ -59,21 +59,21 @@ def cdr_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_cdr_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One usage record per event, each event type with its own kind of dirt in it."""
-    kind, odd = F.col("event_type"), F.col("user_id") % 2 == 1
+    kind, low = F.col("event_type"), F.col("value") < 40
     good = F.date_format("ts", "yyyy/MM/dd HH:mm:ss")
     code = (F.col("user_id") % 3).cast("string")
     return _as_cdr(
         _events(spark, sf_dir),
         CDR_ID_1=F.col("event_id"),
-        RECORD_DATE=F.when((kind == "click") & odd, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-        .when((kind == "view") & odd, F.concat(good, F.lit(".5")))
-        .when((kind == "error") & odd, F.lit("RECORD_DATE"))
+        RECORD_DATE=F.when((kind == "click") & low, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .when((kind == "view") & low, F.concat(good, F.lit(".5")))
+        .when((kind == "error") & low, F.lit("RECORD_DATE"))
         .otherwise(good),
         PAYTYPE_515=F.when(kind == "signup", F.concat(code, F.lit(".0")))
-        .when(kind == "purchase", F.when(odd, F.lit("x")).otherwise(F.lit("")))
+        .when(kind == "purchase", F.when(low, F.lit("x")).otherwise(F.lit("")))
         .otherwise(code),
-        DEBIT_AMOUNT_42=F.when((kind == "signup") & odd, F.lit(None))
-        .when((kind == "view") & (F.col("user_id") % 3 == 0), F.col("value") * 1e12 + 1e13)
+        DEBIT_AMOUNT_42=F.when((kind == "signup") & low, F.lit(None))
+        .when((kind == "view") & (F.col("value") >= 60), F.col("value") * 1e12)
         .when(kind == "purchase", -F.col("value"))
         .otherwise(F.col("value")),
     )
@@ -259,15 +259,15 @@ _CDR = """cdr AS (
 _LABELS = "labels_of(paytype, paytype_label) AS (VALUES (0, 'Prepaid'), (1, 'Postpaid'))"
 
 _DIRTY = """dirty AS (
-  SELECT CASE WHEN event_type = 'click' AND user_id % 2 = 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-              WHEN event_type = 'view' AND user_id % 2 = 1 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') || '.5'
-              WHEN event_type = 'error' AND user_id % 2 = 1 THEN 'RECORD_DATE'
+  SELECT CASE WHEN event_type = 'click' AND value < 40 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+              WHEN event_type = 'view' AND value < 40 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') || '.5'
+              WHEN event_type = 'error' AND value < 40 THEN 'RECORD_DATE'
               ELSE strftime(ts, '%Y/%m/%d %H:%M:%S') END AS record_date,
          CASE WHEN event_type = 'signup' THEN (user_id % 3) || '.0'
-              WHEN event_type = 'purchase' THEN CASE WHEN user_id % 2 = 1 THEN 'x' ELSE '' END
+              WHEN event_type = 'purchase' THEN CASE WHEN value < 40 THEN 'x' ELSE '' END
               ELSE CAST(user_id % 3 AS VARCHAR) END AS paytype_text,
-         CASE WHEN event_type = 'signup' AND user_id % 2 = 1 THEN NULL
-              WHEN event_type = 'view' AND user_id % 3 = 0 THEN value * 1e12 + 1e13
+         CASE WHEN event_type = 'signup' AND value < 40 THEN NULL
+              WHEN event_type = 'view' AND value >= 60 THEN value * 1e12
               WHEN event_type = 'purchase' THEN -value
               ELSE value END AS debit
   FROM events),

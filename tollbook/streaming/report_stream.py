@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from ..workspace import session_zone
 
 INTAKE_METRICS = "cdr_intake"
 
+_log = logging.getLogger(__name__)
+
 
 def report_sink(
     path: str, report: Report, output_mode: str = "complete", preview_rows: int = 0
@@ -35,6 +38,7 @@ def report_sink(
         batch.persist()
         try:
             rows = batch.count()
+            _log.info("%s, micro-batch %d: %d rows", report.name, batch_id, rows)
             if rows == 0:
                 return
             write_report(batch, target, report.sort_by, at_most=rows)
