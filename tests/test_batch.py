@@ -21,6 +21,7 @@ ROWS = [
     ("2020/08/30 00:01:00", "0", 10.5),
     ("2020/08/30 00:02:00", "1", 20),
     ("2020/08/31 00:00:00", "9", -5),
+    ("2020/08/31 00:00:01", "9", 0),
     ("2020/08/30 00:14:59", "0", 30),
 ]
 
@@ -46,20 +47,20 @@ def test_written_reports_byte_for_byte(spark, ansi, tmp_path, map_file):
         "2020-08-30T00:00:00.000Z,0,1.050000,3.000000",
         "2020-08-30T00:00:00.000Z,1,2.000000,2.000000",
         "2020-08-30T00:15:00.000Z,1,4.000000,4.000000",
-        "2020-08-31T00:00:00.000Z,9,-0.500000,-0.500000",
+        "2020-08-31T00:00:00.000Z,9,-0.500000,0.000000",
     ]
     assert report_lines(tmp_path / "out/count_revenue_15min") == [
         "RECORD_DATE,Pay_type,record_count,revenue",
         "2020-08-30T00:00:00.000Z,Postpaid,1,2.000000",
         "2020-08-30T00:00:00.000Z,Prepaid,2,4.050000",
         "2020-08-30T00:15:00.000Z,Postpaid,1,4.000000",
-        "2020-08-31T00:00:00.000Z,,1,-0.500000",
+        "2020-08-31T00:00:00.000Z,,2,-0.500000",
     ]
     for name in tb.REPORTS:
         assert len(list((tmp_path / "out" / name).glob("part-*.csv"))) == 1
     assert counts == {
-        "input_rows": 6,
-        "clean_rows": 5,
+        "input_rows": 7,
+        "clean_rows": 6,
         "rejected_rows": 1,
         "map_rows": 2,
         "daily_revenue": 2,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import parse_cdr
 from ..operators.label import label_paytype
 from ..operators.measures import run_counts, usable_cells, window_cells
-from ..operators.reports import REPORTS, report_named
+from ..operators.reports import REPORTS, Report, report_named
 from ..sinks.report_files import write_report
 from ..sources.files import check_paytype_map, read_cdr, read_paytype_map
 from ..workspace import ensure_checkpoint_dir, session_zone
@@ -55,8 +58,13 @@ def run_batch(
         cells = window_cells(parse_cdr(read_cdr(spark, cdr_path))).checkpoint()
         counts = run_counts(cells).first().asDict() | {"map_rows": map_rows}
         cell_rows = cells.count()
-        for name, report in REPORTS.items():
-            result = report_from_cells(name, cells, paytype_map, map_bytes)
+
+        def write(report: Report) -> int:
+            result = report_from_cells(report.name, cells, paytype_map, map_bytes)
             # A report groups cells, so it has no more rows than there are cells.
-            counts[name] = write_report(result, f"{out_base.rstrip('/')}/{name}", report.sort_by, at_most=cell_rows)
-    return counts
+            return write_report(result, f"{out_base.rstrip('/')}/{report.name}", report.sort_by, at_most=cell_rows)
+
+        # The reports are small and independent jobs, so their fixed costs overlap.
+        with ThreadPoolExecutor(len(REPORTS)) as pool:
+            written = pool.map(inheritable_thread_target(spark)(write), REPORTS.values())
+            return counts | dict(zip(REPORTS, written, strict=True))

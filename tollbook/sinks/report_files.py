@@ -22,10 +22,13 @@ def write_report(
     A report of up to ``rows_per_file`` rows is one file, sorted in one task. A
     larger one is range-partitioned on the sort columns and sorted per partition:
     its files in name order are the sorted report, and no task holds all of it.
-    ``at_most`` is a known bound on the rows; without it the report is counted.
+    ``at_most`` is a known bound on the rows: one within a single file saves the
+    count that decides on the number of files.
     """
-    bound = report.count() if at_most is None else at_most
-    files = max(1, -(-bound // rows_per_file))
+    if at_most is not None and at_most <= rows_per_file:
+        files = 1
+    else:
+        files = max(1, -(-report.count() // rows_per_file))
     placed = report.coalesce(1) if files == 1 else report.repartitionByRange(files, *sort_by)
     written = Observation()
     (
