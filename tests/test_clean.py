@@ -75,7 +75,18 @@ def test_paytype_code_examples(old_cast):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(alphabet="01.9+- x\t\ne", max_size=6), min_size=40, max_size=40))
+@given(
+    st.lists(
+        st.one_of(
+            st.text(alphabet="01.9+- x\t\ne", max_size=6),
+            st.from_regex(r"[ \t]?[+-]?0{0,3}[0-9]{0,22}(\.[0-9]{0,3})?[ \n]?", fullmatch=True),
+            st.integers(-(2**33), 2**33).map(str),
+            st.text(max_size=3),
+        ),
+        min_size=60,
+        max_size=60,
+    )
+)
 def test_paytype_code_equals_the_lenient_cast(old_cast, texts):
     got, want = old_cast(texts)
     assert got == want
