@@ -18,7 +18,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark() -> SparkSession:
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4, 3]")  # a task may fail twice
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

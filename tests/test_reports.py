@@ -36,7 +36,7 @@ def by_records(name, cdr, paytypes):
     rows = tb.clean_cdr(cdr)
     if tb.REPORTS[name].labelled:
         rows = tb.label_paytype(rows, paytypes)
-    return tb.REPORTS[name].build(tb.record_measures(rows))
+    return tb.REPORTS[name].build(rows)
 
 
 def contents(df):

@@ -242,3 +242,17 @@ def test_stream_with_a_map_too_large_to_broadcast(spark, paytypes, tmp_path, mon
         "2020-08-30T00:00:00.000Z,Postpaid,3,12.000000",
         "2020-08-30T00:00:00.000Z,Prepaid,3,9.000000",
     ]
+
+
+def test_rocksdb_state_store(spark, tmp_path):
+    late_files(tmp_path)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        drain(spark, "revenue_15min", tmp_path, max_files=2)
+        drain(spark, "revenue_15min", tmp_path, out="closed", max_files=1, output_mode="append")
+    finally:
+        spark.conf.set(key, before)
+    assert windows(tmp_path / "out") == {"00:00": 1001, "12:00": 7, "18:00": 9}
+    assert sorted(line[11:16] for line in report_lines(tmp_path / "closed") if line.startswith("2020")) == ["00:00", "12:00"]

@@ -8,7 +8,6 @@ from .operators import (
     label_paytype,
     minmax_15min,
     parse_cdr,
-    record_measures,
     revenue_15min,
     run_counts,
     usable_cells,
@@ -33,7 +32,6 @@ __all__ = [
     "read_cdr",
     "read_cdr_stream",
     "read_paytype_map",
-    "record_measures",
     "report_from_cells",
     "report_sink",
     "revenue_15min",

@@ -2,12 +2,13 @@
 
 from .clean import clean_cdr, is_usable, parse_cdr
 from .label import label_paytype
-from .measures import record_measures, run_counts, usable_cells, window_cells
+from .measures import as_measures, run_counts, usable_cells, window_cells
 from .reports import REPORTS, Report, count_revenue_15min, daily_revenue, minmax_15min, report_named, revenue_15min
 
 __all__ = [
     "REPORTS",
     "Report",
+    "as_measures",
     "clean_cdr",
     "count_revenue_15min",
     "daily_revenue",
@@ -15,7 +16,6 @@ __all__ = [
     "label_paytype",
     "minmax_15min",
     "parse_cdr",
-    "record_measures",
     "report_named",
     "revenue_15min",
     "run_counts",

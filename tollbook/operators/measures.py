@@ -20,9 +20,11 @@ def _summable(debit: Column) -> Column:
     return debit.cast("decimal(15,2)")
 
 
-def record_measures(clean: DataFrame) -> DataFrame:
-    """One measure row per usable record; other columns stay."""
-    return clean.withColumns(
+def as_measures(rows: DataFrame) -> DataFrame:
+    """Cleaned records as measure rows, one each; rows that are measures already stay as they are."""
+    if "debit_sum" in rows.columns:
+        return rows
+    return rows.withColumns(
         {
             "record_count": F.lit(1).cast("long"),
             "debit_sum": _summable(F.col("debit")),

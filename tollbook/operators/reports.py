@@ -1,7 +1,7 @@
 """The four revenue reports, one definition each for batch and streams.
 
-All take measure rows (see ``measures``) and return unsorted results: sorting is
-left to the sink, where it is legal in every output mode.
+All take cleaned records or usable window cells (see ``measures``) and return
+unsorted results: sorting is left to the sink, where it is legal in every mode.
 """
 
 from __future__ import annotations
@@ -13,18 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import WINDOW_LENGTH, amount, day_key, day_text, total
+from .measures import as_measures
 
 
 def daily_revenue(rows: DataFrame) -> DataFrame:
     """Revenue per calendar day of the session zone."""
-    daily = rows.groupBy(day_key(F.col("event_time")).alias("day")).agg(
+    daily = as_measures(rows).groupBy(day_key(F.col("event_time")).alias("day")).agg(
         total(F.sum("debit_sum")).alias("daily_revenue")
     )
     return daily.select(day_text(F.col("day")).alias("date"), "daily_revenue")
 
 
 def _per_window(rows: DataFrame, key: Column, *measures: Column) -> DataFrame:
-    windowed = rows.groupBy(F.window("event_time", WINDOW_LENGTH), key).agg(*measures)
+    windowed = as_measures(rows).groupBy(F.window("event_time", WINDOW_LENGTH), key).agg(*measures)
     return windowed.withColumn("RECORD_DATE", F.col("window.start")).drop("window")
 
 
