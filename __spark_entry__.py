@@ -105,7 +105,7 @@ def _cdr_files(spark: SparkSession, sf_dir: str) -> str:
 
     def write() -> str:
         path = new_path(spark, "cdr")
-        cdr_rows(spark, sf_dir).write.option("header", True).option("maxRecordsPerFile", 50_000).csv(path)
+        cdr_rows(spark, sf_dir).write.option("header", True).csv(path)
         return path
 
     return _once(spark, "cdr", sf_dir, make=write)
@@ -205,11 +205,11 @@ def q_stream_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_report(spark, name, out)
 
 
-def q_stream_late(mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _run_late(mode: str, spark: SparkSession, sf_dir: str) -> str:
     """Three drops of files, the first third of the time last, each drained by a restarted query.
 
-    By then the watermark is far past those records: append mode drops them,
-    complete mode counts them. One drop is one micro-batch, however many files.
+    By then the watermark is far past those records: append and update mode drop
+    them, complete mode counts them. One drop is one micro-batch, however many files.
     """
     cdr, source = cdr_rows(spark, sf_dir), new_path(spark, "late-cdr")
     out, state = new_path(spark, "late-out"), new_path(spark, "late-state")
@@ -223,7 +223,18 @@ def q_stream_late(mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     ):
         cdr.filter(drop).write.mode("append").option("header", True).csv(source)
         _drain(spark, "revenue_15min", source, out, state, output_mode=mode, max_files=None)
-    return _read_report(spark, "revenue_15min", out)
+    return out
+
+
+def q_stream_late(mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_report(spark, "revenue_15min", _run_late(mode, spark, sf_dir))
+
+
+def q_stream_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last value that update mode wrote of each window."""
+    parts = spark.read.schema(f"{REPORT_SCHEMAS['revenue_15min']}, batch_id bigint").option("header", True)
+    written = parts.csv(_run_late("update", spark, sf_dir))
+    return _plain(written.groupBy("RECORD_DATE", "paytype").agg(F.max_by("revenue", "batch_id").alias("revenue")))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -248,6 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{f"stream_{name}": partial(q_stream_report, name) for name in tb.REPORTS},
         "stream_late_complete": partial(q_stream_late, "complete"),
         "stream_late_append": partial(q_stream_late, "append"),
+        "stream_late_update": q_stream_late_update,
     }
 
 
@@ -318,11 +330,13 @@ SELECT (SELECT count(*) FROM events) AS input_rows,
 
 # Late records are those of the first third of the time. A window is closed once
 # the watermark, 10 minutes behind the last event, has passed its end.
-_LATE_APPEND = f"""WITH {_CDR},
+_LATE_UPDATE = f"""WITH {_CDR},
 span AS (SELECT CAST(min(epoch(event_time)) AS BIGINT) AS low, CAST(max(epoch(event_time)) AS BIGINT) AS high FROM cdr),
 on_time AS (SELECT cdr.* FROM cdr, span WHERE epoch(event_time) >= low + (high - low) // 3)
 SELECT {_WINDOW}, paytype, CAST(sum(debit_amount) AS DOUBLE) AS revenue
-FROM on_time GROUP BY 1, 2
+FROM on_time GROUP BY 1, 2"""
+
+_LATE_APPEND = f"""{_LATE_UPDATE}
 HAVING time_bucket(INTERVAL '15 minutes', event_time) + INTERVAL '15 minutes'
   <= (SELECT max(event_time) FROM cdr) - INTERVAL '10 minutes'"""
 
@@ -346,4 +360,5 @@ SELECT (SELECT count(*) FROM dirty) AS input_rows, (SELECT count(*) FROM cdr) AS
         **{f"stream_{name}": sql for name, sql in _REPORTS.items()},
         "stream_late_complete": _REPORTS["revenue_15min"],
         "stream_late_append": _LATE_APPEND,
+        "stream_late_update": _LATE_UPDATE,
     }
