@@ -68,8 +68,9 @@ def old_cast(spark):
 
 
 def test_paytype_code_examples(old_cast):
-    texts = ["0", "1", "1.", "1.9", "-1.9", "+1", "01", "1e0", "1.x", "x", "", ".", ".5", "-.5", " 1 ", "\t1.9\n",
-             "1 .0", "2147483647.5", "2147483648", "2147483648.0", "-2147483648.9", "--1", "1.0.0", "٣", "1-", None]
+    texts = ["0", "1", "1.", "1.9", "-1.9", "+1", "01", "1e0", "1.x", "x", "", ".", ".5", "-.5", "+", " 1 ", "\t1.9\n"]
+    texts += ["1 .0", "--1", "1.0.0", "1-", "\u0663", None]
+    texts += ["2147483647.5", "2147483648", "2147483648.0", "-2147483648.9", "-2147483649", "9" * 30, "0" * 30 + "7"]
     got, want = old_cast(texts)
     assert got == want
 

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as driver
 import tollbook as tb
 from conftest import SMALL
+from tollbook.operators.label import SALTS, row_salt
 
 
 def plan_of(df):
@@ -22,7 +23,15 @@ def test_small_map_is_broadcast_and_a_large_one_is_not(spark, paytypes):
     assert set(large.columns) == set(small.columns)
 
 
-def test_hot_code_spreads_over_salts(spark, paytypes):
+@pytest.mark.parametrize("row", ["0 AS paytype", "0 AS paytype, id"], ids=["copies of one row", "one code"])
+def test_hot_rows_spread_evenly_over_salts(spark, row):
+    rows = spark.range(0, 64_000, 1, 400).selectExpr(*row.split(", "))
+    sizes = [r["count"] for r in rows.groupBy(row_salt(rows).alias("salt")).count().collect()]
+    assert len(sizes) == SALTS and sum(sizes) == 64_000
+    assert max(sizes) < 2.5 * 64_000 / SALTS
+
+
+def test_hot_code_is_joined_by_salt(spark, paytypes):
     rows = spark.range(10_000).selectExpr("id", "0 AS paytype")
     joined = tb.label_paytype(rows, paytypes, broadcast_bytes=0)
     assert "_salt" in plan_of(joined)
@@ -31,7 +40,8 @@ def test_hot_code_spreads_over_salts(spark, paytypes):
 
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_unknown_and_null_codes_have_no_label(spark, limit):
-    labels = spark.createDataFrame([(0, "Prepaid"), (None, "nothing"), (None, "at all")], "paytype int, paytype_label string")
+    entries = [(0, "Prepaid"), (None, "nothing"), (None, "at all")]
+    labels = spark.createDataFrame(entries, "paytype int, paytype_label string")
     rows = spark.createDataFrame([(0,), (5,), (None,)], "paytype int")
     got = tb.label_paytype(rows, labels, broadcast_bytes=limit).select("paytype", "paytype_label").collect()
     assert sorted(map(tuple, got), key=str) == [(0, "Prepaid"), (5, None), (None, None)]

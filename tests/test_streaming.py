@@ -39,7 +39,8 @@ def windows(directory):
 @pytest.mark.parametrize("name", list(tb.REPORTS))
 def test_stream_equals_batch(spark, ansi, paytypes, tmp_path, name):
     """Over several micro-batches of real files: with and without a header, dirty rows in them."""
-    rows = [tuple(r) for r in driver.cdr_rows(spark, SMALL).select("RECORD_DATE", "PAYTYPE_515", "DEBIT_AMOUNT_42").collect()]
+    used = driver.cdr_rows(spark, SMALL).select("RECORD_DATE", "PAYTYPE_515", "DEBIT_AMOUNT_42")
+    rows = [tuple(row) for row in used.collect()]
     rows += [row for row, _ in DIRTY]
     for i in range(4):
         write_cdr(tmp_path / "in", f"{i}.csv", rows[i::4], order=i)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.files import check_paytype_map
@@ -11,6 +11,15 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
+def row_salt(rows: DataFrame) -> Column:
+    """A number from 0 to ``SALTS - 1`` per row.
+
+    It hashes the row, which splits a code, and the partition the row is in, which
+    splits copies of one row. Both are the same again when a lost task is repeated.
+    """
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.lit(SALTS)).cast("int")
+
+
 def label_paytype(
     rows: DataFrame,
     paytype_map: DataFrame,
@@ -20,17 +29,16 @@ def label_paytype(
     """Adds ``paytype_label`` by code; null for an unknown or null code.
 
     The map is broadcast once its measured size is within ``broadcast_bytes``,
-    so the rows are not shuffled. A larger map is joined by code and salt: a code
-    that holds a large part of the rows spreads over ``SALTS`` tasks. The salt is
-    a hash of the row, hence the same again when a lost task is repeated. Works
-    on a stream too, where the map is static and the join keeps no state.
+    so the rows are not shuffled. A larger map is joined by code and salt, so that
+    a code with a large part of the rows spreads over ``SALTS`` tasks. Works on a
+    stream too, where the map is static and the join keeps no state.
     ``map_bytes`` is the size of a map that is already checked.
     """
     if map_bytes is None:
         _, map_bytes = check_paytype_map(paytype_map)
     if map_bytes <= broadcast_bytes:
         return rows.join(F.broadcast(paytype_map), "paytype", "left")
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    salted_rows = rows.withColumn("_salt", row_salt(rows))
     salted_map = paytype_map.filter(F.col("paytype").isNotNull()).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
