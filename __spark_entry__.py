@@ -18,6 +18,12 @@ import tollbook as tb
 from tollbook.sources.schema import CDR_SCHEMA
 from tollbook.workspace import new_path
 
+try:  # the subpackage is optional, and so is what its queries need
+    import corpus_pipeline
+    from tollbook.llm import queries as llm
+except ImportError:
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The payment-type map.
@@ -260,6 +266,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_late_complete": partial(q_stream_late, "complete"),
         "stream_late_append": partial(q_stream_late, "append"),
         "stream_late_update": q_stream_late_update,
+        **({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
@@ -361,4 +368,5 @@ SELECT (SELECT count(*) FROM dirty) AS input_rows, (SELECT count(*) FROM cdr) AS
         "stream_late_complete": _REPORTS["revenue_15min"],
         "stream_late_append": _LATE_APPEND,
         "stream_late_update": _LATE_UPDATE,
+        **(llm.oracle_sql() if llm else {}),
     }
