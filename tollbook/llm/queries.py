@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, token_counts
+from ..workspace import new_path
+from . import byte_bpe, packing, sequence_files, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,20 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.prefix_tables(_documents(spark, sf_dir), model, budget=4096, keep_steps=False)
 
 
+def op3_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it comes back from the sequence files."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    folder = new_path(spark, "sequences")
+    files = sequence_files.write_sequences(_documents(spark, sf_dir), tokenizer, end_id=2, folder=folder)
+    return sequence_files.read_documents(spark, files)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pieces(_documents(spark, sf_dir), tokenizer, end_id=1, keep_ids=False)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,6 +45,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage, by name."""
     return {
         "op2_token_counts": op2_token_counts,
+        "op3_sequence_files": op3_sequence_files,
+        "op5_packing": op5_packing,
         "op7_byte_bpe": op7_byte_bpe,
     }
 
