@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..workspace import new_path
-from . import byte_bpe, packing, sequence_files, token_counts
+from . import byte_bpe, hilbert, packing, sequence_files, syncmers, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,19 +36,33 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(_documents(spark, sf_dir), tokenizer, end_id=1, keep_ids=False)
 
 
+def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of eight."""
+    shards = hilbert.hilbert_shards(_documents(spark, sf_dir), shards=8)
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return shards.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "curve")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside those of its edited text and the next document."""
+    return syncmers.fingerprints(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage, by name."""
     return {
         "op2_token_counts": op2_token_counts,
         "op3_sequence_files": op3_sequence_files,
         "op5_packing": op5_packing,
+        "op6_hilbert_shards": op6_hilbert_shards,
         "op7_byte_bpe": op7_byte_bpe,
+        "op9_syncmers": op9_syncmers,
     }
 
 
