@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import new_path
-from . import byte_bpe, hilbert, packing, sequence_files, syncmers, token_counts
+from . import byte_bpe, hilbert, packing, quality, sequence_files, syncmers, token_counts, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document, from its prefix table."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -49,11 +53,23 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity under a field fitted to the labels."""
+    documents = _documents(spark, sf_dir)
+    return toxicity.score_documents(documents, toxicity.train(documents, _labels(spark, sf_dir)))
+
+
 def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint beside those of its edited text and the next document."""
     return syncmers.fingerprints(_documents(spark, sf_dir))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality under trees fitted to the labels."""
+    documents = _documents(spark, sf_dir)
+    return quality.score_documents(documents, quality.train(documents, _labels(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage, by name."""
     return {
@@ -62,7 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_hilbert_shards": op6_hilbert_shards,
         "op7_byte_bpe": op7_byte_bpe,
+        "op8_toxicity": op8_toxicity,
         "op9_syncmers": op9_syncmers,
+        "op10_quality": op10_quality,
     }
 
 
