@@ -9,7 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import new_path
-from . import byte_bpe, hilbert, packing, quality, sequence_files, syncmers, token_counts, toxicity
+from . import (
+    byte_bpe,
+    hilbert,
+    near_duplicates,
+    packing,
+    quality,
+    sequence_files,
+    syncmers,
+    token_counts,
+    toxicity,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +44,11 @@ def op3_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_files.read_documents(spark, files)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates."""
+    return near_duplicates.near_duplicate_classes(_documents(spark, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op2_token_counts,
         "op3_sequence_files": op3_sequence_files,
+        "op4_near_duplicates": op4_near_duplicates,
         "op5_packing": op5_packing,
         "op6_hilbert_shards": op6_hilbert_shards,
         "op7_byte_bpe": op7_byte_bpe,

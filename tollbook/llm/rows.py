@@ -39,13 +39,17 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def map_slices(
-    df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], dict[str, object]], column: str = "text"
+    df: DataFrame,
+    schema: str,
+    work: Callable[[pa.RecordBatch], dict[str, object]],
+    column: str = "text",
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
     """Maps slices of rows to the columns of ``schema``; memory is one slice and what ``work`` holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, most):
                 yield pa.RecordBatch.from_pydict(work(part))
 
     return df.mapInArrow(run, schema)
