@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import bag_minhash
 from .components import merged
-from .rows import column_of, map_slices, saved, texts_of
+from .rows import column_of, map_slices, saved, texts_of, unused
 
 THRESHOLD = 0.8
 #: Nodes of a bucket's smaller classes that a round takes as pivots; the rounds go on until none is left.
@@ -151,11 +151,13 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     keeps = F.col("least").eqNullSafe(F.col("class_id")) & (F.col("key") == F.coalesce("class_id", F.lit(NO_ID)))
     found = rows.groupBy("node", "key").agg(F.count("*").alias("n"), F.max(keeps).alias("keeps"))
     found = saved(found.filter("not keeps or n > 1"), "dropped")
-    own = documents.withColumns({"_node": _node(), "_key": F.coalesce("doc_id", F.lit(NO_ID))})
+    names = documents.columns
+    node, key = (unused(name, names) for name in ("node", "key"))
+    own = documents.withColumns({node: _node(), key: F.coalesce("doc_id", F.lit(NO_ID))})
 
     def keys(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("node").alias("_node"), F.col("key").alias("_key"))
+        return rows.select(F.col("node").alias(node), F.col("key").alias(key))
 
-    single = own.join(keys(found), ["_node", "_key"], "left_anti")
-    repeated = own.join(keys(found.filter("keeps")), ["_node", "_key"], "left_semi").dropDuplicates(["_node", "_key"])
-    return single.unionByName(repeated).select(*[f"`{c}`" for c in documents.columns])
+    single = own.join(keys(found), [node, key], "left_anti")
+    repeated = own.join(keys(found.filter("keeps")), [node, key], "left_semi").dropDuplicates([node, key])
+    return single.unionByName(repeated).select(*[f"`{name}`" for name in names])

@@ -12,6 +12,7 @@ from ..workspace import new_path
 from . import (
     byte_bpe,
     hilbert,
+    hnsw,
     near_duplicates,
     packing,
     quality,
@@ -30,6 +31,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest other vectors of every fiftieth vector."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    graphs = hnsw.index(vectors, k=5)
+    return hnsw.search(graphs, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document, from its prefix table."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -88,6 +96,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage, by name."""
     return {
+        "op1_hnsw": op1_hnsw,
         "op2_token_counts": op2_token_counts,
         "op3_sequence_files": op3_sequence_files,
         "op4_near_duplicates": op4_near_duplicates,

@@ -65,3 +65,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 def text_bytes(text: Column) -> Column:
     """UTF-8 bytes of a text; null has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def unused(name: str, names: list[str]) -> str:
+    """A column name like ``name`` that is not among ``names``, in any case of letters."""
+    taken = {other.lower() for other in names}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
