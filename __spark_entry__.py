@@ -8,8 +8,10 @@ payment type (2 has no label), ``value`` as the charge. Decimals leave as double
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,27 +157,17 @@ def q_dirty_count_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(tb.batch_report("count_revenue_15min", dirty_cdr_rows(spark, sf_dir), paytype_map(spark)))
 
 
-def q_report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = tb.batch_report("revenue_15min", cdr_rows(spark, sf_dir))
-    return _plain(tb.preview(report, tb.REPORTS["revenue_15min"].sort_by))
+def q_report_preview(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = tb.batch_report(name, cdr_rows(spark, sf_dir), _labels_for(name, spark))
+    return _plain(tb.preview(report, tb.REPORTS[name].sort_by))
 
 
 def q_csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(tb.batch_report("revenue_15min", tb.read_cdr(spark, _cdr_files(spark, sf_dir))))
 
 
-# Written reports are read back with these types.
-REPORT_SCHEMAS = {
-    "daily_revenue": "date string, daily_revenue decimal(28,6)",
-    "revenue_15min": "RECORD_DATE timestamp, paytype int, revenue decimal(28,6)",
-    "minmax_15min": "RECORD_DATE timestamp, paytype int, min_revenue decimal(18,6), max_revenue decimal(18,6)",
-    "count_revenue_15min": "RECORD_DATE timestamp, Pay_type string, record_count bigint, revenue decimal(28,6)",
-}
-
-
-def _read_report(spark: SparkSession, name: str, path: str) -> DataFrame:
-    written = spark.read.schema(REPORT_SCHEMAS[name]).option("header", True)
-    return _plain(written.option("recursiveFileLookup", True).csv(path))
+def _read_report(spark: SparkSession, name: str, path: str, mode: str = "complete") -> DataFrame:
+    return _plain(tb.read_report(spark, name, path, mode))
 
 
 def _batch_job(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
@@ -211,14 +203,64 @@ def q_stream_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_report(spark, name, out)
 
 
-def _run_late(mode: str, spark: SparkSession, sf_dir: str) -> str:
+def q_stream_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named report stream with a processing-time trigger, stopped when it has read all files."""
+    out = new_path(spark, "stream")
+    query = tb.stream_report(
+        spark,
+        "revenue_15min",
+        _cdr_files(spark, sf_dir),
+        out,
+        new_path(spark, "state"),
+        trigger={"processingTime": "1 second"},
+        max_files=None,
+        query_name=f"named_{uuid4().hex}",
+    )
+    query.processAllAvailable()
+    query.stop()
+    return _read_report(spark, "revenue_15min", out)
+
+
+def q_stream_all(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of the one stream that keeps all four."""
+
+    def run() -> str:
+        cdr_path, out = _cdr_files(spark, sf_dir), new_path(spark, "stream-all")
+        files = len(spark.read.text(cdr_path).inputFiles())
+        now = {"availableNow": True}
+        names, state, labels = list(tb.REPORTS), new_path(spark, "state"), paytype_map(spark)
+        each = math.ceil(files / 4)
+        tb.stream_reports(spark, names, cdr_path, out, state, labels, trigger=now, max_files=each).awaitTermination()
+        return out
+
+    return _read_report(spark, name, f"{_once(spark, 'stream-all', sf_dir, make=run)}/{name}")
+
+
+def q_stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report stream whose last files carry a modification time a month before the others'."""
+    cdr, source = cdr_rows(spark, sf_dir), new_path(spark, "old-cdr")
+    out, state = new_path(spark, "old-out"), new_path(spark, "old-state")
+    late = F.pmod(F.xxhash64("CDR_ID_1"), F.lit(4)) == 0
+    for part in (~late, late):
+        before = set(spark.read.text(source).inputFiles()) if part is late else set()
+        cdr.filter(part).write.mode("append").option("header", True).csv(source)
+        if part is late:
+            month_ago = int((time.time() - 30 * 86_400) * 1000)
+            for file in set(spark.read.text(source).inputFiles()) - before:
+                path = spark._jvm.org.apache.hadoop.fs.Path(file)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(path, month_ago, -1)
+        _drain(spark, "revenue_15min", source, out, state, max_files=None)
+    return _read_report(spark, "revenue_15min", out)
+
+
+def _run_late(name: str, mode: str, spark: SparkSession, sf_dir: str, out: str | None = None) -> str:
     """Three drops of files, the first third of the time last, each drained by a restarted query.
 
     By then the watermark is far past those records: append and update mode drop
     them, complete mode counts them. One drop is one micro-batch, however many files.
     """
     cdr, source = cdr_rows(spark, sf_dir), new_path(spark, "late-cdr")
-    out, state = new_path(spark, "late-out"), new_path(spark, "late-state")
+    out, state = out or new_path(spark, "late-out"), new_path(spark, "late-state")
     second = F.unix_timestamp("RECORD_DATE", "yyyy/MM/dd HH:mm:ss")
     low, high = cdr.agg(F.min(second), F.max(second)).first()
     first_cut, second_cut = low + (high - low) // 3, low + 2 * ((high - low) // 3)
@@ -228,19 +270,21 @@ def _run_late(mode: str, spark: SparkSession, sf_dir: str) -> str:
         second < first_cut,
     ):
         cdr.filter(drop).write.mode("append").option("header", True).csv(source)
-        _drain(spark, "revenue_15min", source, out, state, output_mode=mode, max_files=None)
+        _drain(spark, name, source, out, state, output_mode=mode, max_files=None)
     return out
 
 
-def q_stream_late(mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read_report(spark, "revenue_15min", _run_late(mode, spark, sf_dir))
+def q_stream_late(name: str, mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mode has written; in update mode the last value of each window."""
+    return _read_report(spark, name, _run_late(name, mode, spark, sf_dir), mode)
 
 
-def q_stream_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last value that update mode wrote of each window."""
-    parts = spark.read.schema(f"{REPORT_SCHEMAS['revenue_15min']}, batch_id bigint").option("header", True)
-    written = parts.csv(_run_late("update", spark, sf_dir))
-    return _plain(written.groupBy("RECORD_DATE", "paytype").agg(F.max_by("revenue", "batch_id").alias("revenue")))
+def q_stream_append_beside_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of an append stream after a batch job has written to the same base."""
+    base = new_path(spark, "shared-base")
+    out = _run_late("revenue_15min", "append", spark, sf_dir, f"{base}/revenue_15min")
+    tb.run_batch(spark, _cdr_files(spark, sf_dir), _paytype_file(spark), base)
+    return _read_report(spark, "revenue_15min", out, "append")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -258,14 +302,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "paytype_label_join_large_map": q_paytype_label_join_large_map,
         **{name: partial(q_report, name) for name in tb.REPORTS},
         "dirty_count_revenue_15min": q_dirty_count_revenue,
-        "report_preview": q_report_preview,
+        "report_preview": partial(q_report_preview, "revenue_15min"),
+        "report_preview_daily": partial(q_report_preview, "daily_revenue"),
+        "report_preview_count_revenue": partial(q_report_preview, "count_revenue_15min"),
         "csv_scan_roundtrip": q_csv_scan_roundtrip,
         **{f"batch_job_{name}": partial(q_batch_job, name) for name in tb.REPORTS},
         "batch_job_counts": q_batch_job_counts,
         **{f"stream_{name}": partial(q_stream_report, name) for name in tb.REPORTS},
-        "stream_late_complete": partial(q_stream_late, "complete"),
-        "stream_late_append": partial(q_stream_late, "append"),
-        "stream_late_update": q_stream_late_update,
+        **{f"stream_all_{name}": partial(q_stream_all, name) for name in tb.REPORTS},
+        "stream_named": q_stream_named,
+        "stream_old_files": q_stream_old_files,
+        "stream_late_complete": partial(q_stream_late, "revenue_15min", "complete"),
+        "stream_late_append": partial(q_stream_late, "revenue_15min", "append"),
+        "stream_late_append_minmax": partial(q_stream_late, "minmax_15min", "append"),
+        "stream_late_append_count_revenue": partial(q_stream_late, "count_revenue_15min", "append"),
+        "stream_late_update": partial(q_stream_late, "revenue_15min", "update"),
+        "stream_append_beside_batch": q_stream_append_beside_batch,
         **({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
@@ -337,15 +389,26 @@ SELECT (SELECT count(*) FROM events) AS input_rows,
 
 # Late records are those of the first third of the time. A window is closed once
 # the watermark, 10 minutes behind the last event, has passed its end.
-_LATE_UPDATE = f"""WITH {_CDR},
-span AS (SELECT CAST(min(epoch(event_time)) AS BIGINT) AS low, CAST(max(epoch(event_time)) AS BIGINT) AS high FROM cdr),
-on_time AS (SELECT cdr.* FROM cdr, span WHERE epoch(event_time) >= low + (high - low) // 3)
+_ON_TIME = """span AS (SELECT CAST(min(epoch(event_time)) AS BIGINT) AS low, CAST(max(epoch(event_time)) AS BIGINT) AS high FROM cdr),
+on_time AS (SELECT cdr.* FROM cdr, span WHERE epoch(event_time) >= low + (high - low) // 3)"""
+
+_CLOSED = """HAVING time_bucket(INTERVAL '15 minutes', event_time) + INTERVAL '15 minutes'
+  <= (SELECT max(event_time) FROM cdr) - INTERVAL '10 minutes'"""
+
+_LATE_UPDATE = f"""WITH {_CDR}, {_ON_TIME}
 SELECT {_WINDOW}, paytype, CAST(sum(debit_amount) AS DOUBLE) AS revenue
 FROM on_time GROUP BY 1, 2"""
 
-_LATE_APPEND = f"""{_LATE_UPDATE}
-HAVING time_bucket(INTERVAL '15 minutes', event_time) + INTERVAL '15 minutes'
-  <= (SELECT max(event_time) FROM cdr) - INTERVAL '10 minutes'"""
+_LATE_APPEND = f"{_LATE_UPDATE} {_CLOSED}"
+
+_LATE_APPEND_MINMAX = f"""WITH {_CDR}, {_ON_TIME}
+SELECT {_WINDOW}, paytype, CAST(min(debit_amount) AS DOUBLE) AS min_revenue,
+  CAST(max(debit_amount) AS DOUBLE) AS max_revenue
+FROM on_time GROUP BY 1, 2 {_CLOSED}"""
+
+_LATE_APPEND_COUNT = f"""WITH {_CDR}, {_LABELS}, {_ON_TIME}
+SELECT {_WINDOW}, paytype_label AS Pay_type, count(*) AS record_count, CAST(sum(debit_amount) AS DOUBLE) AS revenue
+FROM on_time LEFT JOIN labels_of USING (paytype) GROUP BY 1, 2 {_CLOSED}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -361,12 +424,20 @@ SELECT (SELECT count(*) FROM dirty) AS input_rows, (SELECT count(*) FROM cdr) AS
         **_REPORTS,
         "dirty_count_revenue_15min": f"WITH {_DIRTY}, {_LABELS} {_COUNT_REVENUE}",
         "report_preview": f"WITH {_CDR} {_REVENUE} ORDER BY RECORD_DATE, paytype NULLS FIRST LIMIT 10",
+        "report_preview_daily": f"{_REPORTS['daily_revenue']} ORDER BY date LIMIT 10",
+        "report_preview_count_revenue": f"WITH {_CDR}, {_LABELS} {_COUNT_REVENUE} ORDER BY RECORD_DATE, Pay_type NULLS FIRST LIMIT 10",
         "csv_scan_roundtrip": _REPORTS["revenue_15min"],
         **{f"batch_job_{name}": sql for name, sql in _REPORTS.items()},
         "batch_job_counts": _BATCH_COUNTS,
         **{f"stream_{name}": sql for name, sql in _REPORTS.items()},
+        **{f"stream_all_{name}": sql for name, sql in _REPORTS.items()},
+        "stream_named": _REPORTS["revenue_15min"],
+        "stream_old_files": _REPORTS["revenue_15min"],
         "stream_late_complete": _REPORTS["revenue_15min"],
         "stream_late_append": _LATE_APPEND,
+        "stream_late_append_minmax": _LATE_APPEND_MINMAX,
+        "stream_late_append_count_revenue": _LATE_APPEND_COUNT,
         "stream_late_update": _LATE_UPDATE,
+        "stream_append_beside_batch": _LATE_APPEND,
         **(llm.oracle_sql() if llm else {}),
     }

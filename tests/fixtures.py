@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 from pathlib import Path
 
 from tollbook.sources.schema import CDR_COLUMNS
@@ -49,6 +50,18 @@ def write_cdr(directory: Path, name: str, rows: list[tuple[str, str, object]], o
     staged.rename(directory / name)
 
 
+@contextmanager
+def session_zone(spark, zone: str):
+    """Runs a block under a session time zone."""
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, zone)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def report_lines(directory: Path) -> list[str]:
     """Text lines of a written report, its files in name order and one header line."""
     parts = sorted(directory.rglob("part-*.csv"))

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 
+import __spark_entry__ as driver
 import tollbook as tb
+from conftest import SMALL
 from fixtures import DIRTY, report_lines, write_cdr
 from tollbook import workspace
 
@@ -104,11 +107,71 @@ def test_errors_are_raised(spark, tmp_path, map_file):
 
 def test_large_report_is_many_files_that_read_in_order(spark, tmp_path):
     report = spark.range(1000).selectExpr("id * 37 % 1000 AS date", "id AS daily_revenue").repartition(7)
-    assert tb.write_report(report, str(tmp_path / "r"), ["date"], rows_per_file=300) == 1000
+    assert tb.write_report(report, str(tmp_path / "r"), ["date"], files=4) == 1000
     assert len(list((tmp_path / "r").glob("part-*.csv"))) == 4
     assert [int(x.split(",")[0]) for x in report_lines(tmp_path / "r")[1:]] == list(range(1000))
 
 
+def test_report_that_is_not_saved_reads_its_input_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    for files in (1, 3):
+        before = read.value
+        cdr = driver.cdr_rows(spark, SMALL)
+        report = tb.batch_report("revenue_15min", cdr.mapInArrow(counted, cdr.schema))
+        assert tb.write_report(report, str(tmp_path / f"r{files}"), ["RECORD_DATE", "paytype"], files=files) > 0
+        assert read.value - before == cdr.count()
+
+
+def test_batch_needs_no_scratch_setting_and_leaves_nothing(spark, tmp_path, map_file):
+    write_cdr(tmp_path / "in", "a.csv", ROWS)
+    for k, options in enumerate(({}, {"scratch": str(tmp_path / "scratch")})):
+        tb.run_batch(spark, str(tmp_path / "in"), map_file, str(tmp_path / f"out{k}"), **options)
+        assert sorted(p.name for p in (tmp_path / f"out{k}").iterdir()) == sorted(tb.REPORTS)
+    assert list((tmp_path / "scratch").iterdir()) == []
+
+
+def test_scratch_of_a_cluster_without_a_setting_is_below_the_output():
+    assert workspace.scratch_path(FakeSession("yarn"), "cells", None, "hdfs://out/").startswith("hdfs://out/_scratch/cells-")
+    assert workspace.scratch_path(FakeSession("yarn"), "cells", "hdfs://s", "hdfs://out").startswith("hdfs://s/cells-")
+
+
+def test_jobs_at_once_keep_their_own_zones(spark, tmp_path, map_file):
+    write_cdr(tmp_path / "in", "a.csv", [(f"2020/08/30 {h:02}:20:00", "0", 10) for h in range(24)])
+
+    def run(zone, name):
+        tb.run_batch(spark, str(tmp_path / "in"), map_file, str(tmp_path / name), zone=zone)
+        return [report_lines(tmp_path / name / report) for report in tb.REPORTS]
+
+    zones = ["UTC", "Asia/Kathmandu"]
+    serial = [run(zone, f"serial-{k}") for k, zone in enumerate(zones)]
+    for turn in range(3):
+        with ThreadPoolExecutor(2) as pool:
+            together = pool.map(run, zones, [f"together-{turn}-{k}" for k in range(2)])
+            assert list(together) == serial
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_job_session_takes_runtime_settings(spark, ansi):
+    own = workspace.job_session(spark, "Asia/Kathmandu")
+    assert own.conf.get("spark.sql.ansi.enabled") == ansi
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert own.conf.get("spark.sql.session.timeZone") == "Asia/Kathmandu"
+
+
+def test_batch_refuses_a_folder_of_parts(spark, tmp_path, map_file):
+    write_cdr(tmp_path / "in", "a.csv", ROWS)
+    (tmp_path / "out/revenue_15min/batch_id=3").mkdir(parents=True)
+    with pytest.raises(ValueError, match="parts"):
+        tb.run_batch(spark, str(tmp_path / "in"), map_file, str(tmp_path / "out"))
+    assert (tmp_path / "out/revenue_15min/batch_id=3").exists()
+
+
 def test_nulls_sort_first(spark, tmp_path):
     report = spark.createDataFrame([(1, None), (1, 2), (None, 5)], "a int, b int")
     tb.write_report(report, str(tmp_path / "r"), ["a", "b"])
@@ -121,12 +184,17 @@ def test_preview_is_the_head_of_the_sorted_report(spark):
     assert tb.preview(report, ["date"], 3).count() == 3
 
 
+class FakeConf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
 class FakeSession:
     """A session as far as the shared folder is concerned."""
 
     def __init__(self, master, **settings):
         self.sparkContext = SimpleNamespace(master=master, applicationId="fake")
-        self.conf = settings
+        self.conf = FakeConf(settings)
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -52,6 +52,33 @@ def test_micro_batches_are_bounded(spark, files, bound):
     assert sorted(p.name for p in (files / "state/revenue_15min/commits").glob("[0-9]*")) >= ["0", "1"]
 
 
+def test_interrupted_stream_stops_and_goes_on_later(spark, files, monkeypatch, caplog):
+    paths = ["--input", f"{files}/in", "--output", f"{files}/out", "--checkpoints", f"{files}/state"]
+    started = []
+
+    def interrupted(query):
+        started.append(query)
+        query.processAllAvailable()
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, caplog.at_level("INFO", "tollbook"):
+        patch.setattr("pyspark.sql.streaming.StreamingQuery.awaitTermination", interrupted)
+        cli.main(["stream", "revenue_15min", "--trigger", "1 second", *paths], spark)
+    assert not started[0].isActive
+    assert any("2 rows" in record.getMessage() for record in caplog.records)
+    first = report_lines(files / "out/revenue_15min")
+    write_cdr(files / "in", "c.csv", [("2020/08/30 00:02:00", "0", 30)], order=2)
+    cli.main(["stream", "revenue_15min", "--available-now", *paths], spark)
+    second = report_lines(files / "out/revenue_15min")
+    assert first[1].endswith(",0,1.000000") and second[1].endswith(",0,4.000000") and first[2] == second[2]
+
+
+def test_one_command_streams_all_reports(spark, files):
+    paths = ["--input", f"{files}/in", "--output", f"{files}/out", "--checkpoints", f"{files}/state"]
+    cli.main(["stream", "all", "--available-now", "--map", f"{files}/map.csv", *paths], spark)
+    assert sorted(p.name for p in (files / "out").iterdir()) == sorted(tb.REPORTS)
+
+
 def test_missing_settings_are_named(spark, files, capsys):
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["batch", "--input", "x", "--map", "y"])

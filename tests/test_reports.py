@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import tollbook as tb
 from conftest import SMALL
-from fixtures import DIRTY, write_cdr
-from tollbook.workspace import session_zone
+from fixtures import DIRTY, write_cdr, session_zone
 
 SCHEMAS = {
     "daily_revenue": [("date", "string"), ("daily_revenue", "decimal(28,6)")],

@@ -108,7 +108,7 @@ def test_complete_mode_counts_late_rows(spark, tmp_path):
 def test_append_mode_drops_late_rows_and_writes_closed_windows_once(spark, tmp_path):
     late_files(tmp_path)
     query = drain(spark, "revenue_15min", tmp_path, max_files=1, output_mode="append")
-    parts = {p.name: windows(p) for p in (tmp_path / "out").glob("batch_id=*")}
+    parts = {p.name: windows(p) for p in (tmp_path / "out_append").glob("query_id=*/batch_id=*")}
     assert sorted(map(str, parts.values())) == ["{'00:00': 1.0}", "{'12:00': 7.0}"]
     assert dropped(query) == 1
 
@@ -116,7 +116,8 @@ def test_append_mode_drops_late_rows_and_writes_closed_windows_once(spark, tmp_p
 def test_update_mode_writes_changed_windows(spark, tmp_path):
     late_files(tmp_path)
     query = drain(spark, "revenue_15min", tmp_path, max_files=1, output_mode="update")
-    parts = [windows(tmp_path / f"out/batch_id={i}") for i in range(5)]
+    folder = next((tmp_path / "out_update").iterdir())
+    parts = [windows(folder / f"batch_id={i}") for i in range(5)]
     assert parts == [{"00:00": 1}, {"12:00": 3}, {"12:00": 7}, {}, {"18:00": 9}]
     assert dropped(query) == 1
 
@@ -125,10 +126,69 @@ def test_update_mode_writes_changed_windows(spark, tmp_path):
 def test_other_windowed_reports_run_in_append_mode(spark, paytypes, tmp_path, name):
     late_files(tmp_path)
     drain(spark, name, tmp_path, paytypes, max_files=1, output_mode="append")
-    starts = [line[11:16] for line in report_lines(tmp_path / "out") if line.startswith("2020")]
+    starts = [line[11:16] for line in report_lines(tmp_path / "out_append") if line.startswith("2020")]
     assert sorted(starts) == ["00:00", "12:00"]
 
 
+def test_files_with_an_old_time_are_read(spark, tmp_path):
+    month = 30 * 86_400
+    for order, row in ((month, ("00:01", 1)), (0, ("00:02", 2)), (month + 86_400, ("00:03", 4))):
+        write_cdr(tmp_path / "in", f"{order}.csv", times(row), order=order)
+        drain(spark, "revenue_15min", tmp_path)
+    assert windows(tmp_path / "out") == {"00:00": 7}
+
+
+def test_parts_stay_with_their_query(spark, tmp_path):
+    """A restart goes on in its folder; a new query, and complete mode on a folder of parts, are refused."""
+    late_files(tmp_path)
+    drain(spark, "revenue_15min", tmp_path, max_files=1, output_mode="append")
+    drain(spark, "revenue_15min", tmp_path, max_files=1, output_mode="append")
+    read = tb.read_report(spark, "revenue_15min", str(tmp_path / "out"), "append")
+    assert sorted(str(r.revenue) for r in read.collect()) == ["1.000000", "7.000000"]
+    start = (spark, "revenue_15min", str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="another query"):
+        tb.stream_report(*start, str(tmp_path / "out"), str(tmp_path / "fresh"), output_mode="append")
+    with pytest.raises(ValueError, match="parts"):
+        tb.stream_report(*start, str(next((tmp_path / "out_append").iterdir())), str(tmp_path / "fresh"))
+
+
+def test_update_parts_read_as_the_last_value(spark, tmp_path):
+    late_files(tmp_path)
+    drain(spark, "revenue_15min", tmp_path, max_files=1, output_mode="update")
+    read = tb.read_report(spark, "revenue_15min", str(tmp_path / "out"), "update").collect()
+    assert sorted(str(r.revenue) for r in read) == ["1.000000", "7.000000", "9.000000"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Africa/Monrovia"])
+def test_one_stream_keeps_all_reports_with_one_scan(spark, paytypes, tmp_path, zone):
+    odd = [("1909/12/31 23:59:59", "0", 10), ("1910/01/01 00:00:30", "7", 20)]
+    write_cdr(tmp_path / "in", "a.csv", [row for row, _ in DIRTY] + odd)
+    now = {"trigger": {"availableNow": True}, "zone": zone}
+    paths = (str(tmp_path / "in"), str(tmp_path / "all"), str(tmp_path / "state-all"))
+    query = tb.stream_reports(spark, list(tb.REPORTS), *paths, paytypes, **now)
+    query.awaitTermination()
+    assert query._jsq.explainInternal(False).count("ReadSchema") == 1
+    for name in tb.REPORTS:
+        out, state = str(tmp_path / f"one-{name}"), str(tmp_path / f"state-{name}")
+        tb.stream_report(spark, name, str(tmp_path / "in"), out, state, paytypes, **now).awaitTermination()
+        assert report_lines(tmp_path / "all" / name) == report_lines(tmp_path / f"one-{name}")
+
+
+def test_one_stream_appends_windowed_reports_only(spark, paytypes, tmp_path):
+    late_files(tmp_path)
+    names = ["revenue_15min", "count_revenue_15min"]
+    paths = (str(tmp_path / "in"), str(tmp_path / "all"), str(tmp_path / "state"))
+    now = {"trigger": {"availableNow": True}, "max_files": 1}
+    tb.stream_reports(spark, names, *paths, paytypes, output_mode="append", **now).awaitTermination()
+    for name in names:
+        revenue = tb.read_report(spark, name, str(tmp_path / "all" / name), "append").select("revenue").collect()
+        assert sorted(str(r.revenue) for r in revenue) == ["1.000000", "7.000000"]
+    with pytest.raises(ValueError, match="append"):
+        tb.stream_reports(spark, list(tb.REPORTS), *paths, paytypes, output_mode="append")
+    with pytest.raises(ValueError, match="update"):
+        tb.stream_reports(spark, names, *paths, paytypes, output_mode="update")
+
+
 def test_daily_report_cannot_append(spark, tmp_path):
     with pytest.raises(ValueError, match="append"):
         drain(spark, "daily_revenue", tmp_path, output_mode="append")
@@ -138,7 +198,7 @@ def test_daily_report_in_update_mode_counts_late_rows(spark, tmp_path):
     """Its key is a text without event time, so the watermark does not close days."""
     late_files(tmp_path)
     drain(spark, "daily_revenue", tmp_path, max_files=1, output_mode="update")
-    last = report_lines(tmp_path / "out/batch_id=4")
+    last = report_lines(next((tmp_path / "out_update").iterdir()) / "batch_id=4")
     assert last == ["date,daily_revenue", "2020-08-30,1017.000000"]
 
 
@@ -169,8 +229,8 @@ def test_repeated_batch_leaves_the_same_files(spark, tmp_path):
     rows = spark.sql("SELECT TIMESTAMP'2020-08-30 00:00:00' AS RECORD_DATE, 0 AS paytype, 1.5 AS revenue")
     sink(rows, 3)
     sink(rows, 3)
-    assert [p.name for p in (tmp_path / "out").iterdir()] == ["batch_id=3"]
-    assert len(report_lines(tmp_path / "out")) == 2
+    assert [p.name for p in (tmp_path / "out_append").glob("*/*")] == ["batch_id=3"]
+    assert len(report_lines(tmp_path / "out_append")) == 2
 
 
 def test_preview_is_printed_on_demand(spark, tmp_path, capsys):
@@ -234,7 +294,7 @@ def test_stream_parses_once_and_reads_used_columns(spark, paytypes, tmp_path):
 
 
 def test_stream_with_a_map_too_large_to_broadcast(spark, paytypes, tmp_path, monkeypatch):
-    monkeypatch.setattr(streaming.report_stream, "label_paytype", lambda rows, labels: tb.label_paytype(rows, labels, 0))
+    monkeypatch.setattr(streaming.report_stream, "label_paytype", lambda rows, labels, **_: tb.label_paytype(rows, labels, 0))
     rows = [(f"2020/08/30 00:0{i}:00", str(i % 3), 10 * i) for i in range(9)]
     write_cdr(tmp_path / "in", "a.csv", rows)
     drain(spark, "count_revenue_15min", tmp_path, paytypes)
@@ -256,4 +316,4 @@ def test_rocksdb_state_store(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert windows(tmp_path / "out") == {"00:00": 1001, "12:00": 7, "18:00": 9}
-    assert sorted(line[11:16] for line in report_lines(tmp_path / "closed") if line.startswith("2020")) == ["00:00", "12:00"]
+    assert sorted(line[11:16] for line in report_lines(tmp_path / "closed_append") if line.startswith("2020")) == ["00:00", "12:00"]

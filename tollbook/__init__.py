@@ -14,9 +14,9 @@ from .operators import (
     window_cells,
 )
 from .plans import batch_report, report_from_cells, run_batch
-from .sinks import preview, write_report
+from .sinks import preview, read_report, write_report
 from .sources import CDR_SCHEMA, read_cdr, read_cdr_stream, read_paytype_map, s3a_conf
-from .streaming import report_sink, stream_report, streaming_report
+from .streaming import report_sink, stream_report, stream_reports, streaming_report
 
 __all__ = [
     "CDR_SCHEMA",
@@ -32,6 +32,7 @@ __all__ = [
     "read_cdr",
     "read_cdr_stream",
     "read_paytype_map",
+    "read_report",
     "report_from_cells",
     "report_sink",
     "revenue_15min",
@@ -39,6 +40,7 @@ __all__ = [
     "run_counts",
     "s3a_conf",
     "stream_report",
+    "stream_reports",
     "streaming_report",
     "usable_cells",
     "window_cells",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import os
 from collections.abc import Sequence
 
@@ -11,9 +12,13 @@ from pyspark.sql import SparkSession
 
 from .operators.reports import REPORTS
 from .plans.batch import run_batch
-from .sources.files import read_paytype_map
+from .sources.files import ANY_AGE, read_paytype_map
 from .sources.object_store import s3a_conf
-from .streaming.report_stream import stream_report
+from .streaming.report_stream import stream_report, stream_reports
+
+ALL = "all"
+
+_log = logging.getLogger(__name__)
 
 # Names and defaults of the environment variables that set the options.
 INPUT = ("INPUT_DIR", None)
@@ -43,9 +48,11 @@ def parser() -> argparse.ArgumentParser:
     _option(batch, "--input", INPUT, "directory of usage record files")
     _option(batch, "--map", PAYTYPE_MAP, "payment-type map file")
     _option(batch, "--output", OUTPUT, "directory of the report directories")
+    batch.add_argument("--files", type=int, default=1, help="files of each report")
+    batch.add_argument("--scratch", help="shared directory for the run's own data; by default below the output")
 
-    stream = jobs.add_parser("stream", help="one report over arriving files, until stopped")
-    stream.add_argument("report", choices=list(REPORTS))
+    stream = jobs.add_parser("stream", help="one report over arriving files, or all, until stopped")
+    stream.add_argument("report", choices=[*REPORTS, ALL])
     _option(stream, "--input", INPUT, "directory in which files arrive")
     _option(stream, "--output", OUTPUT, "directory of the report directories")
     _option(stream, "--checkpoints", CHECKPOINTS, "directory of the checkpoint directories")
@@ -54,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--map", default=os.environ.get(PAYTYPE_MAP[0]), help=f"payment-type map file [{PAYTYPE_MAP[0]}]")
     stream.add_argument("--mode", choices=["complete", "append", "update"], default="complete")
     stream.add_argument("--max-files", type=int, default=5, help="most files of a micro-batch")
+    stream.add_argument("--max-file-age", default=ANY_AGE, help="leave out files older than the newest by this much")
     stream.add_argument("--max-bytes", help="most bytes of a micro-batch, such as 200g; replaces --max-files")
     stream.add_argument("--available-now", action="store_true", help="stop after the files that are there now")
     stream.add_argument("--preview", type=int, default=0, metavar="N", help="print N rows of each result")
@@ -87,31 +95,43 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     """Runs the job of a parsed command line."""
     output = args.output.rstrip("/")
     if args.job == "batch":
-        print(json.dumps(run_batch(spark, args.input, args.map, output, zone=args.zone)))
+        counts = run_batch(spark, args.input, args.map, output, zone=args.zone, files=args.files, scratch=args.scratch)
+        print(json.dumps(counts))
         return
-    if REPORTS[args.report].labelled and not args.map:
+    names = list(REPORTS) if args.report == ALL else [args.report]
+    labelled = any(REPORTS[name].labelled for name in names)
+    if labelled and not args.map:
         raise ValueError(f"report {args.report} needs --map or {PAYTYPE_MAP[0]}")
-    stream_report(
-        spark,
-        args.report,
-        args.input,
-        f"{output}/{args.report}",
-        f"{args.checkpoints.rstrip('/')}/{args.report}",
-        read_paytype_map(spark, args.map, check=False) if REPORTS[args.report].labelled else None,
-        output_mode=args.mode,
-        watermark=args.watermark,
-        trigger={"availableNow": True} if args.available_now else {"processingTime": args.trigger},
-        max_files=None if args.max_bytes else args.max_files,
-        source_options={"maxBytesPerTrigger": args.max_bytes} if args.max_bytes else None,
-        zone=args.zone,
-        query_name=f"{args.report}_stream",
-        preview_rows=args.preview,
-    ).awaitTermination()
+    options = {
+        "paytype_map": read_paytype_map(spark, args.map, check=False) if labelled else None,
+        "output_mode": args.mode,
+        "watermark": args.watermark,
+        "trigger": {"availableNow": True} if args.available_now else {"processingTime": args.trigger},
+        "max_files": None if args.max_bytes else args.max_files,
+        "source_options": {"maxBytesPerTrigger": args.max_bytes} if args.max_bytes else None,
+        "max_file_age": args.max_file_age,
+        "zone": args.zone,
+        "query_name": f"{args.report}_stream",
+    }
+    checkpoint = f"{args.checkpoints.rstrip('/')}/{args.report}"
+    if args.report == ALL:
+        query = stream_reports(spark, names, args.input, output, checkpoint, **options)
+    else:
+        out_path = f"{output}/{args.report}"
+        query = stream_report(spark, args.report, args.input, out_path, checkpoint, preview_rows=args.preview, **options)
+    try:
+        query.awaitTermination()
+    except KeyboardInterrupt:
+        # The checkpoint has every finished micro-batch; the next start repeats the one that this cuts off.
+        _log.info("stopping %s", args.report)
+        query.stop()
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     """Entry point; stops the session only where it started one."""
     args = parser().parse_args(argv)
+    logging.basicConfig(level=logging.WARNING, format="%(asctime)s %(message)s")
+    logging.getLogger("tollbook").setLevel(logging.INFO)  # rows of each micro-batch
     session = spark or _session()
     try:
         run(session, args)

@@ -21,9 +21,9 @@ TOTAL_TYPE = "decimal(28,6)"
 WINDOW_LENGTH = f"{WINDOW_MINUTES} minutes"
 _WINDOW_MICROS = WINDOW_MINUTES * 60 * 1_000_000
 
-# A number as a lenient integer cast takes it: padding, sign, digits, fraction. Groups: sign, significant digits.
+# A number as a lenient integer cast takes it: padding, sign, digits, fraction.
 _PADDING = r"[\x00-\x20\x7f]*"
-_NUMBER = rf"^{_PADDING}([+-]?)0*(?:([0-9]{{1,18}})(?:\.[0-9]*)?|\.[0-9]*){_PADDING}$"
+_NUMBER = rf"^{_PADDING}(?<sign>[+-]?)0*(?:(?<digits>[0-9]{{1,18}})(?:\.[0-9]*)?|\.[0-9]*){_PADDING}$"
 
 
 def event_time(text: Column) -> Column:
@@ -40,7 +40,7 @@ def paytype_code(text: Column) -> Column:
     """
     is_digit = (F.octet_length(text) == 1) & text.between("0", "9")
     # Sign, zero and digits: the zero stands in where there are no digits, as in ".5".
-    number = F.regexp_replace(text, F.lit(_NUMBER), F.lit("$10$2")).try_cast("bigint")
+    number = F.regexp_replace(text, F.lit(_NUMBER), F.lit("${sign}0${digits}")).try_cast("bigint")
     in_range = text.rlike(_NUMBER) & number.between(-(2**31), 2**31 - 1)
     return F.when(is_digit, F.ascii(text) - F.ascii(F.lit("0"))).when(in_range, number.try_cast("int"))
 

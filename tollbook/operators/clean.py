@@ -31,6 +31,11 @@ def clean_cdr(cdr: DataFrame, metrics: str | None = None) -> DataFrame:
     reports them in its progress without another action. The observation also
     keeps the optimizer from copying the parsing into the filter below it, which
     would parse every line twice; for that it is there without a name as well.
+
+    A name may stand once in a plan: give two cleaned inputs that meet in one plan
+    two names. Without one, each call gets a random name, so frames of two calls are
+    never the same to Spark (no shared cache or exchange); a name of the caller's
+    makes them so. A filter put on the result stays above the observation.
     """
     observed = parse_cdr(cdr).observe(
         metrics or f"cdr_{uuid4().hex}",

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fields import bucket_start
+from ..functions.fields import WINDOW_LENGTH, bucket_start, day_key
 from .clean import is_usable
 
 
@@ -63,6 +63,26 @@ def window_cells(parsed: DataFrame) -> DataFrame:
     )
 
 
+def stream_cells(clean: DataFrame) -> DataFrame:
+    """Window cells of a stream of cleaned records with a watermark on ``event_time``.
+
+    As ``window_cells``, but keyed by the window itself, which lets the watermark
+    close it, and by the local day, so that a cell lies within one.
+    """
+    return (
+        as_measures(clean)
+        .groupBy(F.window("event_time", WINDOW_LENGTH), day_key(F.col("event_time")).alias("day"), F.col("paytype"))
+        .agg(
+            F.min("event_time").alias("first_time"),
+            F.sum("record_count").alias("record_count"),
+            F.sum("debit_sum").alias("debit_sum"),
+            F.min("debit_min").alias("debit_min"),
+            F.max("debit_max").alias("debit_max"),
+        )
+        .select(F.col("first_time").alias("event_time"), "paytype", "record_count", "debit_sum", "debit_min", "debit_max")
+    )
+
+
 def usable_cells(cells: DataFrame) -> DataFrame:
     """The cells of usable records."""
     return cells.filter(F.col("event_time").isNotNull())

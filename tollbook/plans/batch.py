@@ -11,9 +11,9 @@ from ..operators.clean import parse_cdr
 from ..operators.label import label_paytype
 from ..operators.measures import run_counts, usable_cells, window_cells
 from ..operators.reports import REPORTS, Report, report_named
-from ..sinks.report_files import write_report
+from ..sinks.report_files import refuse_parts, write_report
 from ..sources.files import check_paytype_map, read_cdr, read_paytype_map
-from ..workspace import ensure_checkpoint_dir, session_zone
+from ..workspace import delete, job_session, scratch_path
 
 
 def report_from_cells(
@@ -40,31 +40,44 @@ def run_batch(
     map_path: str,
     out_base: str,
     zone: str | None = "UTC",
+    files: int = 1,
+    scratch: str | None = None,
 ) -> dict[str, int]:
     """Writes all four reports under ``out_base`` and returns the counts of the run.
 
     The records are scanned and shuffled once, into window cells. The cells are
-    checkpointed to the shared folder, so the counts and the reports read the
-    small checkpoint and a lost executor never brings the scan back. Labels are
-    joined to cells, not to records. Any failure is raised.
+    written to a scratch folder, so the counts and the reports read that small table
+    and a lost executor never brings the scan back. Labels are joined to cells, not
+    to records. The scratch folder lies below ``scratch``, else below the folder in
+    ``spark.checkpoint.dir``, else below ``out_base``, and is deleted at the end.
 
     Counts: ``input_rows``, ``clean_rows``, ``rejected_rows``, ``map_rows`` and
-    the rows of each report under its name. ``zone`` decides day boundaries.
+    the rows of each report under its name. ``zone`` decides day boundaries; the
+    job has a session of its own for it, so jobs in other zones may run beside it.
+    ``files`` is the number of files of each report. Any failure is raised; a report
+    is replaced when its own write ends, so after a failed write some are of this
+    run and some of the one before.
     """
-    with session_zone(spark, zone):
-        ensure_checkpoint_dir(spark)
-        paytype_map = read_paytype_map(spark, map_path, check=False)
-        map_rows, map_bytes = check_paytype_map(paytype_map)
-        cells = window_cells(parse_cdr(read_cdr(spark, cdr_path))).checkpoint()
+    session = job_session(spark, zone)
+    out = out_base.rstrip("/")
+    for name in REPORTS:
+        refuse_parts(session, f"{out}/{name}")
+    paytype_map = read_paytype_map(session, map_path, check=False)
+    map_rows, map_bytes = check_paytype_map(paytype_map)
+    cells_path = scratch_path(session, "cells", scratch, out)
+    try:
+        written = window_cells(parse_cdr(read_cdr(session, cdr_path)))
+        written.write.parquet(cells_path)
+        cells = session.read.schema(written.schema).parquet(cells_path)
         counts = run_counts(cells).first().asDict() | {"map_rows": map_rows}
-        cell_rows = cells.count()
 
         def write(report: Report) -> int:
             result = report_from_cells(report.name, cells, paytype_map, map_bytes)
-            # A report groups cells, so it has no more rows than there are cells.
-            return write_report(result, f"{out_base.rstrip('/')}/{report.name}", report.sort_by, at_most=cell_rows)
+            return write_report(result, f"{out}/{report.name}", report.sort_by, files)
 
         # The reports are small and independent jobs, so their fixed costs overlap.
         with ThreadPoolExecutor(len(REPORTS)) as pool:
-            written = pool.map(inheritable_thread_target(spark)(write), REPORTS.values())
-            return counts | dict(zip(REPORTS, written, strict=True))
+            rows = pool.map(inheritable_thread_target(session)(write), REPORTS.values())
+            return counts | dict(zip(REPORTS, rows, strict=True))
+    finally:
+        delete(session, cells_path)

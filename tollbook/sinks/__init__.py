@@ -1,5 +1,5 @@
 """Sinks."""
 
-from .report_files import preview, write_report
+from .report_files import REPORT_SCHEMAS, parts_path, preview, read_report, refuse_parts, write_report
 
-__all__ = ["preview", "write_report"]
+__all__ = ["REPORT_SCHEMAS", "parts_path", "preview", "read_report", "refuse_parts", "write_report"]

@@ -1,38 +1,36 @@
-"""Report output: sorted CSV files with a header, replacing the earlier result."""
+"""Report output: sorted CSV files with a header, and their reader."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-ROWS_PER_FILE = 1_000_000
+from ..operators.reports import report_named
+from ..workspace import child_names
 
+# The columns of a written report.
+REPORT_SCHEMAS = {
+    "daily_revenue": "date string, daily_revenue decimal(28,6)",
+    "revenue_15min": "RECORD_DATE timestamp, paytype int, revenue decimal(28,6)",
+    "minmax_15min": "RECORD_DATE timestamp, paytype int, min_revenue decimal(18,6), max_revenue decimal(18,6)",
+    "count_revenue_15min": "RECORD_DATE timestamp, Pay_type string, record_count bigint, revenue decimal(28,6)",
+}
 
-def write_report(
-    report: DataFrame,
-    path: str,
-    sort_by: Sequence[str],
-    rows_per_file: int = ROWS_PER_FILE,
-    at_most: int | None = None,
-) -> int:
-    """Writes a report in sort order and returns its row count.
 
-    A report of up to ``rows_per_file`` rows is one file, sorted in one task. A
-    larger one is range-partitioned on the sort columns and sorted per partition:
-    its files in name order are the sorted report, and no task holds all of it.
-    ``at_most`` is a known bound on the rows: one within a single file saves the
-    count that decides on the number of files.
+def write_report(report: DataFrame, path: str, sort_by: Sequence[str], files: int = 1) -> int:
+    """Writes a report in sort order, replacing the earlier one, and returns its row count.
+
+    The report is computed once, whatever its size. It is range-partitioned on the
+    sort columns and sorted per partition, so its files in name order are the sorted
+    report. ``files`` is their number: one, the default, suits reports that one task
+    can sort (it spills); give more for more rows.
     """
-    if at_most is not None and at_most <= rows_per_file:
-        files = 1
-    else:
-        files = max(1, -(-report.count() // rows_per_file))
-    placed = report.coalesce(1) if files == 1 else report.repartitionByRange(files, *sort_by)
     written = Observation()
     (
-        placed.sortWithinPartitions(*sort_by)
+        report.repartitionByRange(files, *sort_by)
+        .sortWithinPartitions(*sort_by)
         .observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("header", True)
@@ -44,3 +42,34 @@ def write_report(
 def preview(report: DataFrame, sort_by: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows of a report in sort order."""
     return report.orderBy(*sort_by).limit(n)
+
+
+def parts_path(path: str, output_mode: str) -> str:
+    """Where append and update streams put the parts of the report at ``path``: a folder beside it."""
+    return f"{path.rstrip('/')}_{output_mode}"
+
+
+def refuse_parts(spark: SparkSession, path: str) -> None:
+    """ValueError if a folder that is to be replaced holds a stream's parts."""
+    parts = [name for name in child_names(spark, path) if name.startswith(("batch_id=", "query_id="))]
+    if parts:
+        raise ValueError(f"{path} holds parts that a stream has written ({parts[0]}, ...); they would be lost")
+
+
+def read_report(spark: SparkSession, name: str, path: str, mode: str = "complete") -> DataFrame:
+    """A written report with its types, as batch and complete mode leave it at ``path``.
+
+    ``append`` and ``update`` read the parts beside it: in append mode all rows, in
+    update mode the last value written of each group.
+    """
+    report, schema = report_named(name), REPORT_SCHEMAS[name]
+    if mode == "complete":
+        return spark.read.schema(schema).option("header", True).csv(path)
+    parts = spark.read.schema(f"{schema}, query_id string, batch_id bigint").option("header", True)
+    rows = parts.csv(parts_path(path, mode))
+    if mode == "append":
+        return rows.drop("query_id", "batch_id")
+    keys = list(report.sort_by)
+    values = [field for field in rows.columns if field not in {*keys, "query_id", "batch_id"}]
+    last = F.max_by(F.struct(*values), "batch_id").alias("last")
+    return rows.groupBy(*keys).agg(last).select(*keys, *[f"last.{value}" for value in values])

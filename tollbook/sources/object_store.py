@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def s3a_conf(endpoint: str, access_key: str, secret_key: str, ssl: bool = False) -> dict[str, str]:
     """Settings for ``s3a://`` paths; give them to the session builder before start."""
+    # Spark's names of these settings.
     return {
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.access.key": access_key,

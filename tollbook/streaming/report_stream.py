@@ -2,53 +2,82 @@
 
 from __future__ import annotations
 
+import json
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_cdr
 from ..operators.label import label_paytype
+from ..operators.measures import stream_cells
 from ..operators.reports import Report, report_named
-from ..sinks.report_files import preview, write_report
-from ..sources.files import read_cdr_stream
-from ..workspace import session_zone
+from ..sinks.report_files import parts_path, preview, refuse_parts, write_report
+from ..sources.files import ANY_AGE, check_paytype_map, read_cdr_stream
+from ..workspace import child_names, job_session
 
 INTAKE_METRICS = "cdr_intake"
 
 _log = logging.getLogger(__name__)
 
 
+def _write_batch(rows: DataFrame, path: str, report: Report, output_mode: str, batch_id: int, preview_rows: int) -> None:
+    """Writes one micro-batch of a report; an empty one writes nothing."""
+    if rows.isEmpty():
+        _log.info("%s, micro-batch %d: 0 rows", report.name, batch_id)
+        return
+    target = path
+    if output_mode != "complete":
+        # The query's id is that of its checkpoint, so a restart goes on in its own folder.
+        query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        target = f"{parts_path(path, output_mode)}/query_id={query_id}/batch_id={batch_id}"
+    written = write_report(rows, target, report.sort_by)
+    _log.info("%s, micro-batch %d: %d rows", report.name, batch_id, written)
+    if preview_rows:
+        preview(rows, report.sort_by, preview_rows).show(preview_rows, truncate=False)
+
+
 def report_sink(
     path: str, report: Report, output_mode: str = "complete", preview_rows: int = 0
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` callback that writes a report's micro-batches as CSV.
 
-    In complete mode each micro-batch is the whole result and replaces ``path``.
-    In append and update mode it is a part and goes to ``path/batch_id=N``. Both
-    overwrite, so a repeated micro-batch leaves the same files. An empty one
-    writes nothing. The batch is persisted, as it is counted and then written;
-    an error fails the query, which resumes from its checkpoint.
+    In complete mode each micro-batch is the whole result and replaces ``path``. In
+    append and update mode it is a part and goes to a folder of the mode, the query
+    and the micro-batch beside it (``parts_path``), which no batch job or other
+    query overwrites. A repeated micro-batch leaves the same files. An empty one
+    writes nothing. The batch is persisted, as it is looked at and then written; an
+    error fails the query, which resumes from its checkpoint.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = path if output_mode == "complete" else f"{path}/batch_id={batch_id}"
         batch.persist()
         try:
-            rows = batch.count()
-            _log.info("%s, micro-batch %d: %d rows", report.name, batch_id, rows)
-            if rows == 0:
-                return
-            write_report(batch, target, report.sort_by, at_most=rows)
-            if preview_rows:
-                preview(batch, report.sort_by, preview_rows).show(preview_rows, truncate=False)
+            _write_batch(batch, path, report, output_mode, batch_id, preview_rows)
         finally:
             batch.unpersist()
 
     return write
 
 
+def _check_output(spark: SparkSession, path: str, output_mode: str, checkpoint: str) -> None:
+    """ValueError if a start would replace a stream's parts or mix two queries' parts."""
+    if output_mode == "complete":
+        refuse_parts(spark, path)
+        return
+    own = None
+    if "metadata" in child_names(spark, checkpoint):
+        own = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+    folder = parts_path(path, output_mode)
+    others = [name for name in child_names(spark, folder) if name.startswith("query_id=") and name != f"query_id={own}"]
+    if others:
+        raise ValueError(
+            f"{folder} holds parts of another query ({others[0]}); "
+            "go on with that query's checkpoint or choose another output"
+        )
+
+
 def streaming_report(
     name: str, cdr: DataFrame, paytype_map: DataFrame | None = None, watermark: str = "10 minutes"
 ) -> DataFrame:
@@ -77,16 +106,20 @@ def stream_report(
     query_name: str | None = None,
     preview_rows: int = 0,
     source_options: dict[str, object] | None = None,
+    max_file_age: str = ANY_AGE,
 ) -> StreamingQuery:
     """Starts a report over the CSV files arriving in ``cdr_path``.
 
     ``complete`` (the default) counts every record however late, rewrites the
-    whole report per trigger and keeps all windows in state. For the windowed
-    reports, ``append`` and ``update`` drop records whose window the watermark has
-    closed and forget that window; ``append`` writes a window once, when it
-    closes. The daily report has no window: it cannot append, and ``update``
-    counts late records as complete mode does. ``trigger`` holds the arguments
-    of ``DataStreamWriter.trigger``, 30 seconds of processing time by default.
+    whole report at ``out_path`` per trigger and keeps all windows in state. For the
+    windowed reports, ``append`` and ``update`` drop records whose window the
+    watermark has closed and forget that window; ``append`` writes a window once,
+    when it closes. Their parts go to folders beside ``out_path``, one per query
+    (``read_report`` reads them); a start that finds another query's parts there
+    raises ValueError. The daily report has no window: it cannot append, and
+    ``update`` counts late records as complete mode does. ``trigger`` holds the
+    arguments of ``DataStreamWriter.trigger``, 30 seconds of processing time by
+    default. The query has a session of its own, in ``zone``.
 
     Rows read and kept are in the progress under ``observedMetrics``; they are for
     monitoring, as a repeated task counts again. The number of state partitions is
@@ -95,15 +128,75 @@ def stream_report(
     report = report_named(name)
     if output_mode == "append" and not report.windowed:
         raise ValueError(f"report {name} has no window to close, so it cannot run in append mode")
-    with session_zone(spark, zone):
-        cdr = read_cdr_stream(spark, cdr_path, max_files, **(source_options or {}))
-        writer = (
-            streaming_report(name, cdr, paytype_map, watermark)
-            .writeStream.outputMode(output_mode)
-            .foreachBatch(report_sink(out_path, report, output_mode, preview_rows))
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "30 seconds"}))
-        )
-        if query_name:
-            writer = writer.queryName(query_name)
-        return writer.start()
+    _check_output(spark, out_path, output_mode, checkpoint)
+    session = job_session(spark, zone)
+    cdr = read_cdr_stream(session, cdr_path, max_files, max_file_age, **(source_options or {}))
+    stream = streaming_report(name, cdr, paytype_map, watermark)
+    return _started(stream, report_sink(out_path, report, output_mode, preview_rows), output_mode, checkpoint, trigger, query_name)
+
+
+def _started(
+    stream: DataFrame,
+    sink: Callable[[DataFrame, int], None],
+    output_mode: str,
+    checkpoint: str,
+    trigger: dict[str, object] | None,
+    query_name: str | None,
+) -> StreamingQuery:
+    writer = (
+        stream.writeStream.outputMode(output_mode)
+        .foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "30 seconds"}))
+    )
+    return (writer.queryName(query_name) if query_name else writer).start()
+
+
+def stream_reports(
+    spark: SparkSession,
+    names: Sequence[str],
+    cdr_path: str,
+    out_base: str,
+    checkpoint: str,
+    paytype_map: DataFrame | None = None,
+    output_mode: str = "complete",
+    watermark: str = "10 minutes",
+    trigger: dict[str, object] | None = None,
+    max_files: int | None = 5,
+    zone: str | None = "UTC",
+    query_name: str | None = None,
+    source_options: dict[str, object] | None = None,
+    max_file_age: str = ANY_AGE,
+) -> StreamingQuery:
+    """Starts one query that keeps several reports, each at ``out_base/<report>``.
+
+    The files are scanned once and one state of window cells serves all reports;
+    labels are joined to cells. Modes and parts are those of ``stream_report``, with
+    two exceptions that follow from cells: only windowed reports append, and only
+    those whose groups are cells (by payment-type code) update.
+    """
+    reports = [report_named(name) for name in names]
+    if output_mode == "append" and not all(report.windowed for report in reports):
+        raise ValueError("the daily report has no window to close, so it cannot run in append mode")
+    if output_mode == "update" and not all(report.windowed and not report.labelled for report in reports):
+        raise ValueError("in update mode only the reports by payment-type code can share a query")
+    if paytype_map is None and any(report.labelled for report in reports):
+        raise ValueError("a labelled report needs a payment-type map")
+    out = out_base.rstrip("/")
+    for report in reports:
+        _check_output(spark, f"{out}/{report.name}", output_mode, checkpoint)
+    session = job_session(spark, zone)
+    cdr = read_cdr_stream(session, cdr_path, max_files, max_file_age, **(source_options or {}))
+    cells = stream_cells(clean_cdr(cdr, metrics=INTAKE_METRICS).withWatermark("event_time", watermark))
+    map_bytes = check_paytype_map(paytype_map)[1] if paytype_map is not None else None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for report in reports:
+                rows = label_paytype(batch, paytype_map, map_bytes=map_bytes) if report.labelled else batch
+                _write_batch(report.build(rows), f"{out}/{report.name}", report, output_mode, batch_id, 0)
+        finally:
+            batch.unpersist()
+
+    return _started(cells, write, output_mode, checkpoint, trigger, query_name)

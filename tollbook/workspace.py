@@ -1,10 +1,10 @@
-"""Shared scratch space and session settings of a run."""
+"""Shared scratch space, folders and sessions of a run."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
-from collections.abc import Iterator
-from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -17,8 +17,8 @@ _own_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it in ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a temporary folder; a cluster has no
-    folder that is safe to guess, so that is an error.
+    Where it is unset, a local session gets a temporary folder, removed at exit; a
+    cluster has no folder that is safe to guess, so that is an error.
     """
     named = spark.conf.get(_CHECKPOINT_DIR, None)
     if named:
@@ -27,7 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
     if context.applicationId not in _own_dirs:
-        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tollbook-")
+        folder = tempfile.mkdtemp(prefix="tollbook-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own_dirs[context.applicationId] = folder
     return _own_dirs[context.applicationId]
 
 
@@ -36,19 +38,48 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Makes ``DataFrame.checkpoint`` usable, keeping a directory that is already set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def scratch_path(spark: SparkSession, label: str, scratch: str | None, output: str) -> str:
+    """A new path for a job's own data: below ``scratch``, the session's shared folder or the output.
 
+    The output is seen by all executors by definition, so a job without any scratch
+    setting keeps its data there, in a folder that readers of the output skip.
+    """
+    base = scratch or spark.conf.get(_CHECKPOINT_DIR, None) or f"{output.rstrip('/')}/_scratch"
+    return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
+
+
+def _hadoop_path(spark: SparkSession, path: str) -> tuple[object, object]:
+    java_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return java_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), java_path
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system; none if it does not exist."""
+    system, java_path = _hadoop_path(spark, path)
+    if not system.exists(java_path):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(java_path))
 
-@contextmanager
-def session_zone(spark: SparkSession, zone: str | None) -> Iterator[None]:
-    """Runs a block under a session time zone (None: the zone as it is)."""
-    before = spark.conf.get(_ZONE)
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of a run, and the folder above it if that is an empty ``_scratch``."""
+    system, java_path = _hadoop_path(spark, path)
+    system.delete(java_path, True)
+    above = java_path.getParent()
+    if above.getName() == "_scratch" and not child_names(spark, above.toString()):
+        system.delete(above, False)
+
+
+def job_session(spark: SparkSession, zone: str | None) -> SparkSession:
+    """A session of a job's own with the caller's runtime settings and a time zone (None: the caller's).
+
+    Jobs that run at once in other zones do not see one another's, and the caller's
+    session is never changed. Views and streaming listeners are those of the new session.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
     if zone is not None:
-        spark.conf.set(_ZONE, zone)
-    try:
-        yield
-    finally:
-        spark.conf.set(_ZONE, before)
+        own.conf.set(_ZONE, zone)
+    return own
