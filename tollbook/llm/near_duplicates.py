@@ -2,10 +2,11 @@
 
 Equal texts are one node. Nodes that share a band are candidates; a link needs a
 weighted Jaccard similarity of ``threshold`` or more between their bags of word
-shingles, and classes are what links connect. In a band's bucket nodes are compared
-with pivots, never all with all: a node that is in the pivot's class already needs
-no comparison, and buckets are worked through until no two classes of one are left
-uncompared. So no link between candidates is lost and no group is collected.
+shingles, and classes are what links connect. Every node is first compared with one
+pivot, which joins most of a large group. What then lies in different classes of a
+bucket is compared in pairs of bounded blocks, each candidate pair in the first band
+that it shares; nodes of one class need no comparison. So no link between candidates
+is lost, no group is collected, and only links leave a block.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bag_minhash
@@ -22,8 +23,8 @@ from .components import merged
 from .rows import column_of, map_slices, saved, texts_of, unused
 
 THRESHOLD = 0.8
-#: Nodes of a bucket's smaller classes that a round takes as pivots; the rounds go on until none is left.
-PIVOTS = 16
+#: Nodes of a block, about; a task holds two blocks.
+BLOCK = 1024
 NO_ID = -(2**63)
 
 
@@ -70,6 +71,88 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.sortWithinPartitions("b").mapInArrow(run, "a long, b long")
 
 
+def _block_keys(members: DataFrame, labels: DataFrame, size: int) -> DataFrame:
+    """``bucket, s, t, block, id, comp``: the nodes of buckets with several classes, in pairs of blocks.
+
+    A bucket's largest class (``top``) and its other nodes are cut in blocks of about
+    ``size`` by hash. Each block of others meets itself, every other one and every
+    block of the largest class, which never meets itself: its nodes are one class.
+    """
+    rows = members.select("bucket", "id").join(labels, "id")
+    classes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    sizes = classes.groupBy("bucket").agg(
+        F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("k")
+    )
+    several = sizes.filter("k > 1").select(
+        "bucket",
+        F.col("top.comp").alias("top"),
+        F.ceil((F.col("n") - F.col("top.n")) / size).cast("int").alias("others"),
+        F.when(F.col("n") <= size, 0).otherwise(F.ceil(F.col("top.n") / size)).cast("int").alias("tops"),
+    )
+    rows = rows.join(saved(several, "several"), "bucket")
+    is_top = (F.col("comp") == F.col("top")) & (F.col("tops") > 0)
+    # A bucket within one block is one group, its largest class included.
+    others = F.when(F.col("tops") == 0, 1).otherwise(F.col("others"))
+    block = F.when(is_top, others + F.pmod(F.xxhash64("id"), F.col("tops"))).when(
+        F.col("tops") == 0, 0
+    ).otherwise(F.pmod(F.xxhash64("id"), others))
+    rows = rows.withColumn("block", block.cast("int"))
+    last = F.when(is_top, others - 1).otherwise(others + F.col("tops") - 1)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return rows.select(
+        "bucket", F.least("block", "other").alias("s"), F.greatest("block", "other").alias("t"), "block", "id", "comp"
+    )
+
+
+def _links_in_blocks(table: pa.Table, threshold: float) -> pa.Table:
+    """Links between the classes of one pair of blocks of a bucket.
+
+    Each node is compared with the nodes before it that are of another class, of the
+    other block if there are two, and do not share an earlier band (there they are
+    compared already). Overlaps with all of them come from one list of the blocks'
+    shingles. Classes that a link joins are one from then on.
+    """
+    block = table.column("block").to_numpy()
+    order = np.lexsort((table.column("id").to_numpy(), block))
+    ids, comps, block = (table.column(c).to_numpy()[order] for c in ("id", "comp", "block"))
+    texts = [table.column("text")[int(k)].as_py() for k in order]
+    keys = np.array([table.column("bands")[int(k)].as_py() for k in order])
+    band = int(np.flatnonzero(keys[0] == table.column("bucket")[0].as_py())[0])
+    bags = [bag_minhash.bag(text) for text in texts]
+    sizes = np.array([int(counts.sum()) for _, counts in bags])
+    lengths = np.array([len(hashes) for hashes, _ in bags])
+    shingles, inverse = np.unique(np.concatenate([hashes for hashes, _ in bags]), return_inverse=True)
+    holder = np.repeat(np.arange(len(bags)), lengths)
+    by = np.argsort(inverse, kind="stable")
+    held_by, held = holder[by], np.concatenate([counts for _, counts in bags])[by]
+    starts = np.searchsorted(inverse[by], np.arange(len(shingles) + 1))
+    ends = np.cumsum(lengths)
+    comps = np.unique(comps, return_inverse=True)[1]
+    two_blocks = block[0] != block[-1]
+    a, b = [], []
+    for k in range(1, len(ids)):
+        ask = comps[:k] != comps[k]
+        if two_blocks:
+            ask &= block[:k] != block[k]
+        if band:
+            ask &= ~(keys[:k, :band] == keys[k, :band]).any(1)
+        # The smaller bag must hold enough for the threshold.
+        ask &= np.minimum(sizes[:k], sizes[k]) >= threshold * np.maximum(sizes[:k], sizes[k])
+        if not ask.any():
+            continue
+        own, counts = inverse[ends[k] - lengths[k] : ends[k]], bags[k][1]
+        n = starts[own + 1] - starts[own]
+        at = np.repeat(starts[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(held_by[at], np.minimum(held[at], np.repeat(counts, n)), len(ids))[:k]
+        alike = np.flatnonzero(ask & (common >= threshold * (sizes[:k] + sizes[k] - common)))
+        for j in alike.tolist():
+            if comps[j] != comps[k]:
+                a.append(int(ids[k]))
+                b.append(int(ids[j]))
+                comps[comps == comps[j]] = comps[k]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def text_classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """The signed documents and ``node, least, class_id`` of every different text.
 
@@ -84,38 +167,18 @@ def text_classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[Da
     members = saved(buckets.join(shared, "bucket"), "members")
     labels = saved(members.select("id", F.col("id").alias("comp")).distinct(), "labels")
     # One document per text: its id and digest are the key, so a text with many copies is no hot key.
-    wanted = saved(labels.join(nodes, "id").select("id", "node", F.coalesce("least", F.lit(NO_ID)).alias("key")), "wanted")
+    wanted = labels.join(nodes, "id").select("id", "bands", "node", F.coalesce("least", F.lit(NO_ID)).alias("key"))
     texts = documents.select(F.coalesce("text", F.lit("")).alias("text"), _node().alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("key"))
-    texts = saved(texts.join(wanted, ["node", "key"]).select("id", "text").dropDuplicates(["id"]), "texts")
+    texts = texts.join(saved(wanted, "wanted"), ["node", "key"]).select("id", "bands", "text")
+    texts = saved(texts.dropDuplicates(["id"]), "texts")
 
-    # First each node with its smallest pivot, then the pivots of all its buckets not in its class.
-    first = saved(members.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(F.min("pivot").alias("b")), "pairs")
+    # Each node with the smallest pivot of its buckets first: that joins most of a large group.
+    first = members.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(F.min("pivot").alias("b"))
     labels = merged(labels, saved(verified(first, texts, threshold), "links"))
-    tested = first
-    others = members.select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-    open_pairs = _between_classes(others, labels).join(tested, ["a", "b"], "left_anti")
-    used = members.select("bucket", F.col("pivot").alias("id")).distinct()
-    while True:
-        pairs = saved(open_pairs, "pairs")
-        if not pairs.isEmpty():
-            labels = merged(labels, saved(verified(pairs, texts, threshold), "links"))
-            tested = tested.unionAll(pairs)
-        rest = members.select("bucket", "id").join(used, ["bucket", "id"], "left_anti").join(labels, "id")
-        classes = rest.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        largest = classes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("k"))
-        largest = saved(largest.filter("k > 1").select("bucket", F.col("top.comp").alias("top")), "open")
-        if largest.isEmpty():
-            break
-        rest = saved(rest.join(largest, "bucket"), "rest")
-        nth = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        pivots = saved(rest.filter("comp <> top").withColumn("nth", nth).filter(F.col("nth") <= PIVOTS), "pivots")
-        with_pivots = rest.select("bucket", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(
-            pivots.select("bucket", F.col("id").alias("b"), F.col("comp").alias("comp_b")), "bucket"
-        )
-        different = with_pivots.filter("comp_a <> comp_b")
-        open_pairs = different.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        open_pairs = open_pairs.join(tested, ["a", "b"], "left_anti")
-        used = saved(used.unionAll(pivots.select("bucket", "id")), "used")
+    # Then whatever is still in different classes of a bucket.
+    rows = _block_keys(members, labels, BLOCK).join(texts, "id")
+    links = rows.groupBy("bucket", "s", "t").applyInArrow(lambda table: _links_in_blocks(table, threshold), "a long, b long")
+    labels = merged(labels, saved(links, "links"))
 
     placed = nodes.join(labels, "id", "left").select("node", "least", F.coalesce("comp", "id").alias("comp"))
     placed = saved(placed, "placed")
@@ -123,12 +186,6 @@ def text_classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[Da
     return signs, saved(placed.join(heads, "comp").select("node", "least", "class_id"), "classes")
 
 
-def _between_classes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    a = labels.select(F.col("id").alias("a"), F.col("comp").alias("x"))
-    b = labels.select(F.col("id").alias("b"), F.col("comp").alias("y"))
-    return pairs.join(a, "a").join(b, "b").filter("x <> y").select("a", "b").distinct()
-
-
 def near_duplicate_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id`` of every document; ``class_id`` is the smallest id of its class.
 
