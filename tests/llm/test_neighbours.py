@@ -8,11 +8,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from conftest import SMALL
-from llm_edges import EDGES, edge_docs, edges, no_docs  # noqa: F401
+from llm_edges import EDGES, edges, no_docs  # noqa: F401
 from tollbook.llm import bag_minhash, hnsw, near_duplicates
 
 

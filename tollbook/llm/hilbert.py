@@ -16,7 +16,7 @@ from .rows import saved, text_bytes
 
 BITS = 5
 ROWS_PER_PARTITION = 250_000
-LEAST_PARTITIONS = 8
+LEAST_PARTITIONS, MOST_PARTITIONS = 8, 20_000
 
 
 def size_step(size: Column, bits: int = BITS) -> Column:
@@ -88,7 +88,7 @@ def hilbert_shards(documents: DataFrame, shards: int = 8, bits: int = BITS) -> D
     keyed = saved(with_curve_index(keyed, ["z", "s", "l"], bits), "curve-keys")
     rows = keyed.count()
     order = [F.col("curve"), F.col("doc_id").asc_nulls_first(), F.col("row")]
-    parts = max(LEAST_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
+    parts = min(MOST_PARTITIONS, max(LEAST_PARTITIONS, -(-rows // ROWS_PER_PARTITION)))
     place = F.monotonically_increasing_id()  # partition in the high bits, row of it in the low 33
     ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("row").withColumn("place", place)
     ordered = saved(ordered, "curve-order").select(

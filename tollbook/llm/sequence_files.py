@@ -26,6 +26,8 @@ from .rows import column_of, saved, slices, text_bytes, texts_of
 SEQUENCES_PER_BATCH = 512
 INDEX_ROWS = 4096
 BYTES_PER_FILE = 32 << 20
+#: More text than this many files hold makes larger files: a task streams its share, whatever its size.
+MOST_FILES = 20_000
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -40,12 +42,11 @@ class _Writer:
         fs, root = file_system(folder)
         fs.create_dir(root, recursive=True)
         self.length, self.kind, self.start = length, kind, 0
-        self.item = pa.from_numpy_dtype(kind)
-        schema = pa.schema({"ids": pa.list_(self.item, length), "mask": pa.list_(pa.bool_(), length)})
+        self.schema = pa.schema({"ids": pa.list_(pa.from_numpy_dtype(kind), length), "mask": pa.list_(pa.bool_(), length)})
         index = pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64()})
         self.streams = [fs.open_output_stream(f"{root}/{name}{end}") for end in (".arrow", ".docs.arrow")]
         self.data, self.index = (
-            pa.ipc.new_file(stream, s) for stream, s in zip(self.streams, (schema, index), strict=True)
+            pa.ipc.new_file(stream, s) for stream, s in zip(self.streams, (self.schema, index), strict=True)
         )
         self.room = length * SEQUENCES_PER_BATCH
         self.held: list[np.ndarray] = []
@@ -71,12 +72,9 @@ class _Writer:
         mask = np.concatenate([np.ones(len(ids), bool), np.zeros(padding, bool)])
         ids = np.concatenate([ids, np.zeros(padding, self.kind)])
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(values), self.length) for values in (ids, mask)]
-        self.data.write_batch(pa.record_batch(columns, schema=self.data_schema()))
+        self.data.write_batch(pa.record_batch(columns, schema=self.schema))
         self.held, self.n_held = [], 0
 
-    def data_schema(self) -> pa.Schema:
-        return pa.schema({"ids": pa.list_(self.item, self.length), "mask": pa.list_(pa.bool_(), self.length)})
-
     def _write_index(self) -> None:
         columns = [pa.array(values, pa.int64()) for values in zip(*self.docs, strict=True)]
         self.index.write_batch(pa.record_batch(columns, names=["doc_id", "start", "n_tokens"]))
@@ -143,8 +141,8 @@ def write_sequences(
     order and no task holds more than a share. A null text is the empty one and has
     the end id only; rows that repeat are written as often. No documents: no files.
     """
-    total = documents.agg(F.sum(text_bytes(F.col("text"))).alias("bytes"), F.count("*").alias("rows")).first()
-    parts = max(1, -(-(total["bytes"] or 0) // bytes_per_file))
+    total = documents.agg(F.sum(text_bytes(F.col("text"))).alias("bytes")).first()
+    parts = min(MOST_FILES, max(1, -(-(total["bytes"] or 0) // bytes_per_file)))
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     ranged = (
         documents.select("doc_id", "text", F.xxhash64("text").alias("tie"))
