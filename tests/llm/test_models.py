@@ -49,7 +49,9 @@ def test_copies_do_not_make_words_telling():
     one = "some words that stand only here and next an idiot".split()
     words = [one] * 50 + [f"{a} idiot {b}".split() for a, b in zip("abcdefgh", "hgfedcba", strict=True)] + [["fine"]] * 50
     toxic = np.array([1.0] * 58 + [0.0] * 50)
-    assert toxicity.telling_features(words, toxic) == {"idiot", "idio-", "idiot-"}
+    index: dict[str, int] = {}
+    documents = [np.array([index.setdefault(word, len(index)) for word in tokens]) for tokens in words]
+    assert toxicity.telling_features(documents, list(index), toxic) == {"idiot", "idio-", "idiot-"}
 
 
 def held_out_truth(spark, sf_dir, label):

@@ -31,6 +31,8 @@ STEPS, L2 = 40, 1e-4
 THRESHOLD = 0.5
 NEGLIGIBLE = 0.05
 BLOCK = 256
+#: Tokens that are fitted at a time, about.
+STRETCH = 300_000
 MEMO = 400_000
 WORD = re.compile(r"\w+")
 
@@ -187,74 +189,92 @@ def _log_count(expected: np.ndarray) -> np.ndarray:
     return np.log(expected + 1e-3)
 
 
-def telling_features(words: list[list[str]], toxic: np.ndarray) -> set[str]:
+def telling_features(documents: list[np.ndarray], words: list[str], toxic: np.ndarray) -> set[str]:
     """The features of toxic documents that (nearly) no clean one has.
 
-    A feature's support is the number of different neighbours (word before, word
-    after) it has in toxic documents. Copies repeat a word with its neighbours, so
-    the other words of a toxic document gain nothing by its being copied.
+    Documents are arrays of indices into ``words``. A feature's support is the number
+    of different neighbours (word before, word after) it has in toxic documents.
+    Copies repeat a word with its neighbours, so the other words of a toxic document
+    gain nothing by its being copied.
     """
-    clean = Counter(word for tokens, label in zip(words, toxic, strict=True) if not label for word in set(tokens))
-    around: dict[str, set[tuple[str, str]]] = {}
-    for tokens, label in zip(words, toxic, strict=True):
+    clean, places = np.zeros(len(words), np.int64), []
+    for ids, label in zip(documents, toxic, strict=True):
         if label:
-            for before, word, after in zip(["", *tokens], tokens, [*tokens[1:], ""], strict=False):
-                around.setdefault(word, set()).add((before, after))
+            padded = np.concatenate([[-1], ids, [-1]])
+            places.append(np.stack([padded[1:-1], padded[:-2], padded[2:]], 1))
+        else:
+            clean[np.unique(ids)] += 1
+    around = np.unique(np.concatenate(places), axis=0)
+    contexts = np.bincount(around[:, 0], minlength=len(words))
     support: Counter[str] = Counter()
     against: Counter[str] = Counter()
-    for word, places in around.items():
-        for f in features(word):
-            support[f] += len(places)
-    for word, count in clean.items():
-        for f in features(word):
+    for k in np.flatnonzero(contexts).tolist():
+        for f in features(words[k]):
+            support[f] += int(contexts[k])
+    for k in np.flatnonzero(clean).tolist():
+        for f in features(words[k]):
             if f in support:
-                against[f] += count
+                against[f] += int(clean[k])
     return {f for f, n in support.items() if n >= LEAST_SUPPORT and against[f] <= CLEAN_SHARE * n}
 
 
+def _stretches(documents: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Documents laid end to end in stretches of about ``STRETCH`` tokens, with the first tokens marked."""
+    out, held, size = [], [], 0
+    for k, ids in enumerate(documents):
+        held += [ids] if len(ids) else []
+        size += len(ids)
+        if held and (size >= STRETCH or k == len(documents) - 1):
+            first = np.zeros(size, bool)
+            first[np.cumsum([0, *map(len, held[:-1])])] = True
+            out.append((np.concatenate(held), first))
+            held, size = [], 0
+    return out
+
+
 def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS) -> Field:
     """Fits the field and the score to labelled texts; one class gives a constant score."""
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     constant = Field({}, -20.0, np.zeros((2, 2)), np.zeros(2), 0.0, float(np.log(share / (1 - share))))
     if not len(labels) or labels.min() == labels.max():
         return constant
-    words = [WORD.findall(text.lower()) for text in texts]
-    marks = telling_features(words, labels)
+    index: dict[str, int] = {}
+    documents = [
+        np.array([index.setdefault(word, len(index)) for word in WORD.findall(text.lower())], np.int32) for text in texts
+    ]
+    vocabulary = list(index)
+    marks = telling_features(documents, vocabulary, labels)
     if not marks:
         return constant
-    flat = [word for tokens in words for word in tokens]
-    sizes = np.array([len(tokens) for tokens in words])
-    vocabulary = {word: k for k, word in enumerate(dict.fromkeys(flat))}
-    ids = np.fromiter(map(vocabulary.__getitem__, flat), np.int64, len(flat))
     marked = np.array([any(f in marks for f in features(word)) for word in vocabulary])
-    in_toxic = np.repeat(labels > 0, sizes)
-    state = (marked[ids] & in_toxic).astype(np.int64)
-    first = np.zeros(len(flat), bool)
-    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    # Tokens of toxic documents follow those of clean ones, where no token is toxic.
+    toxic_tokens = _stretches([ids for ids, label in zip(documents, labels, strict=True) if label])
+    clean_tokens = _stretches([ids for ids, label in zip(documents, labels, strict=True) if not label])
+    parts = [(ids, first, (marked[ids] * 1)) for ids, first in toxic_tokens]
+    parts += [(ids, first, np.zeros(len(ids), np.int64)) for ids, first in clean_tokens]
     # Only features of tokens that are toxic somewhere get weights; the rest is the bias.
-    toxic_words = [word for word, k in vocabulary.items() if marked[k]]
+    toxic_words = [word for word, is_marked in zip(vocabulary, marked.tolist(), strict=True) if is_marked]
     names = {f: k for k, f in enumerate(dict.fromkeys(f for word in toxic_words for f in features(word)))}
-    pairs = [(k, names[f]) for word, k in vocabulary.items() for f in features(word) if f in names]
+    pairs = [(k, names[f]) for k, word in enumerate(vocabulary) for f in features(word) if f in names]
     word_of, name_of = (np.array(column, np.int64) for column in zip(*pairs, strict=True))
+    n_tokens = sum(len(ids) for ids, _, _ in parts)
     weights, bias = np.zeros(len(names)), -8.0
     transition, start = np.zeros((2, 2)), np.zeros(2)
-    inner = ~first
-    previous = np.concatenate([[0], state[:-1]])
-    seen = np.bincount(2 * previous[inner] + state[inner], minlength=4).reshape(2, 2)
-    starts = np.bincount(state[first], minlength=2)
     sums = [np.full(len(names), 1e-8), 1e-8, np.full((2, 2), 1e-8), np.full(2, 1e-8)]
     for _ in range(steps):  # AdaGrad on the log-likelihood
         of_word = bias + np.bincount(word_of, weights[name_of], len(vocabulary))
-        p, expected, _ = marginals(of_word[ids], first, transition, start)
-        gap = state - p
-        by_word = np.bincount(ids, gap, len(vocabulary))
-        p_first = p[first].sum()
-        slopes = [
-            np.bincount(name_of, by_word[word_of], len(names)) - L2 * len(flat) * weights / 1000,
-            gap.sum(),
-            seen - expected,
-            starts - np.array([first.sum() - p_first, p_first]),
-        ]
+        by_word = np.zeros(len(vocabulary))
+        slopes = [-L2 * n_tokens * weights / 1000, 0.0, np.zeros((2, 2)), np.zeros(2)]
+        for ids, first, state in parts:
+            p, expected, _ = marginals(of_word[ids], first, transition, start)
+            by_word += np.bincount(ids, state - p, len(vocabulary))
+            inner = ~first[1:]
+            seen = np.bincount((2 * state[:-1] + state[1:])[inner], minlength=4).reshape(2, 2)
+            slopes[2] += seen - expected
+            gap = float((state - p)[first].sum())
+            slopes[3] += np.array([-gap, gap])
+        slopes[0] = slopes[0] + np.bincount(name_of, by_word[word_of], len(names))
+        slopes[1] = float(by_word.sum())
         for k, slope in enumerate(slopes):
             sums[k] = sums[k] + slope**2
         move = [slope / np.sqrt(total) for slope, total in zip(slopes, sums, strict=True)]
