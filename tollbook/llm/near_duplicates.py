@@ -26,6 +26,13 @@ THRESHOLD = 0.8
 #: Nodes of a block, about; a task holds two blocks.
 BLOCK = 1024
 NO_ID = -(2**63)
+#: A table of keys is broadcast up to this size, by its rows; a larger one is joined by a shuffle.
+BROADCAST_BYTES, KEY_BYTES = 32 << 20, 64
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    """Saved keys, marked for broadcast if their measured size allows it: the texts then stay where they are."""
+    return F.broadcast(keys) if keys.count() * KEY_BYTES <= BROADCAST_BYTES else keys
 
 
 def _node() -> Column:
@@ -167,16 +174,15 @@ def text_classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[Da
     members = saved(buckets.join(shared, "bucket"), "members")
     labels = saved(members.select("id", F.col("id").alias("comp")).distinct(), "labels")
     # One document per text: its id and digest are the key, so a text with many copies is no hot key.
-    wanted = labels.join(nodes, "id").select("id", "bands", "node", F.coalesce("least", F.lit(NO_ID)).alias("key"))
+    wanted = saved(labels.join(nodes, "id").select("id", "node", F.coalesce("least", F.lit(NO_ID)).alias("key")), "wanted")
     texts = documents.select(F.coalesce("text", F.lit("")).alias("text"), _node().alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("key"))
-    texts = texts.join(saved(wanted, "wanted"), ["node", "key"]).select("id", "bands", "text")
-    texts = saved(texts.dropDuplicates(["id"]), "texts")
+    texts = saved(texts.join(_small(wanted), ["node", "key"]).select("id", "text").dropDuplicates(["id"]), "texts")
 
     # Each node with the smallest pivot of its buckets first: that joins most of a large group.
     first = members.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(F.min("pivot").alias("b"))
     labels = merged(labels, saved(verified(first, texts, threshold), "links"))
     # Then whatever is still in different classes of a bucket.
-    rows = _block_keys(members, labels, BLOCK).join(texts, "id")
+    rows = _block_keys(members, labels, BLOCK).join(texts.join(nodes.select("id", "bands"), "id"), "id")
     links = rows.groupBy("bucket", "s", "t").applyInArrow(lambda table: _links_in_blocks(table, threshold), "a long, b long")
     labels = merged(labels, saved(links, "links"))
 
@@ -215,6 +221,7 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def keys(rows: DataFrame) -> DataFrame:
         return rows.select(F.col("node").alias(node), F.col("key").alias(key))
 
-    single = own.join(keys(found), [node, key], "left_anti")
-    repeated = own.join(keys(found.filter("keeps")), [node, key], "left_semi").dropDuplicates([node, key])
+    single = own.join(_small(keys(found)), [node, key], "left_anti")
+    repeats = _small(saved(keys(found.filter("keeps")), "repeats"))
+    repeated = own.join(repeats, [node, key], "left_semi").dropDuplicates([node, key])
     return single.unionByName(repeated).select(*[f"`{name}`" for name in names])
