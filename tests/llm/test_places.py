@@ -99,6 +99,17 @@ def test_anchors_do_not_depend_on_context_or_stretches(monkeypatch):
     assert np.diff(syncmers.anchors(LONG[:5000])[0]).max() <= syncmers.K - syncmers.S + 1
 
 
+def test_short_texts_have_an_anchor_and_fingerprints_of_their_own(spark):
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("abcdefgh "), n)) for n in range(1, 48) for _ in range(20)]
+    texts = sorted({t for t in texts if len(t) > 4})
+    assert all(len(syncmers.anchors(t)[0]) for t in texts)
+    prints = {syncmers.written(syncmers.fingerprint(t)) for t in [*texts, ""]}
+    assert len(prints) == len(texts) + 1
+    rows = syncmers.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(rows) == len(texts) and max(r.near_edited for r in rows) < 1 and max(r.near_next for r in rows) < 1
+
+
 def check_fingerprints(rows, docs):
     following = {docs[i][0]: docs[(i + 1) % len(docs)][1] or "" for i in range(len(docs))}
     texts = {i: t or "" for i, t in docs}

@@ -72,15 +72,11 @@ def _least(values: np.ndarray, size: int) -> np.ndarray:
 def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the closed syncmers of a text, in order.
 
-    A text shorter than ``k`` is its own single anchor; the empty text has none.
+    A text without any, as one shorter than ``k`` is and one shorter than ``2k - s``
+    may be, is its own single anchor; the empty text has none.
     """
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    if len(points) < k:
-        if not len(points):
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        return np.zeros(1, np.int64), np.frombuffer(digest, np.uint64)
-    places, hashes = [], []
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     with np.errstate(over="ignore"):
         for start in range(0, len(points) - k + 1, STRETCH):
             symbols = points[start : start + STRETCH + k - 1].astype(np.uint64)
@@ -95,6 +91,9 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
                 value = mixed(value ^ inner[chosen + k - s])
             places.append(chosen + start)
             hashes.append(value)
+    if len(points) and not any(map(len, places)):
+        digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        return np.zeros(1, np.int64), np.frombuffer(digest, np.uint64)
     return np.concatenate(places), np.concatenate(hashes)
 
 
