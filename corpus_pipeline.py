@@ -34,8 +34,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 ids."""
-    return packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, keep_ids=False)
+    """The pieces of all documents, with their ids, as they stand in the written sequences of 2048 ids."""
+    return packing.pieces_in(packing.windows(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1))
 
 
 STAGES = [

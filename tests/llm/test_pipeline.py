@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import corpus_pipeline
 import __spark_entry__ as driver
 from conftest import SMALL
@@ -52,3 +54,9 @@ def test_stages_take_edges_and_no_rows(spark, edge_docs, no_docs):
             assert rows.columns == edge_docs.columns
         assert 0 < rows.count() <= 100 * len(EDGES)
         assert stage(spark, no_docs, SMALL).collect() == []
+
+
+def test_packing_stage_carries_the_ids_of_its_sequences(spark, edge_docs):
+    rows = corpus_pipeline.pack(spark, edge_docs, SMALL).collect()
+    assert sum(r.length for r in rows) > 2048
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)

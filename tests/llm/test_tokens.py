@@ -183,6 +183,17 @@ def test_op5_pieces_and_sequences(spark):
     assert sum(r.n_tokens for r in whole) == sum(r.length for r in rows)
 
 
+def test_op5_carries_the_ids_of_its_sequences(spark, edge_docs):
+    for r in driver.queries()["op5_packing"](spark, SMALL).collect():
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+    # Splits' edges fall within windows; what is read from the windows is what is cut from the documents.
+    for docs in (documents(spark).repartition(5).cache(), edge_docs.repartition(3, "doc_id").cache()):
+        windows = packing.windows(docs, BYTES, 1, length=300)
+        assert sorted(packing.pieces_in(windows).collect(), key=str) == sorted(packing.pieces(docs, BYTES, 1, 300).collect(), key=str)
+        for r in packing.sequences(docs, BYTES, 1, length=300).collect():
+            assert sum(p.length for p in r.pieces) == r.n_tokens and not any(r.ids[r.n_tokens :])
+
+
 def test_op5_edges(edge_docs, no_docs):
     once = edge_docs.dropDuplicates(["doc_id", "text"])
     rows = packing.pieces(once, BYTES, 1, length=128).collect()

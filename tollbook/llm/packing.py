@@ -105,72 +105,116 @@ def pieces(documents: DataFrame, tokenizer: str, end_id: int, length: int = LENG
     return placed(encoded(documents, tokenizer, end_id)).mapInArrow(cut, PIECE + ", ids binary" * keep_ids)
 
 
-def sequences(documents: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
-    """``sequence_id, n_tokens, ids array<int>``: the windows themselves, the last one padded.
+#: A piece as it stands in its window.
+_INSIDE = pa.struct([(name, pa.int64()) for name in ("doc_id", "start", "length", "doc_tokens", "offset")])
+_INSIDE_SQL = "array<struct<doc_id: long, start: long, length: long, doc_tokens: long, offset: long>>"
+
+
+def windows(documents: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
+    """``sequence_id, n_tokens, ids, pieces``: the windows, the last one padded (``ids`` as 4-byte integers).
 
-    A window that lies within one split is put together there. Only the fragments at
-    the edges of splits, two each, are shuffled, as boundary records.
+    ``pieces`` are the runs of documents in a window, in order. A window that lies
+    within one split is put together and written there, in the shared folder. Only
+    the fragments at the edges of splits, two each, are shuffled, as boundary records.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, began = None, [], 0  # next place in the run, ids of the open window, its offset here
+        at, held, inside, began = None, [], [], 0  # next place in the run, ids and pieces of the open window, its offset here
 
-        def closed() -> tuple[int, int, bytes]:
+        def closed() -> tuple[int, int, bytes, list[tuple]]:
             data = np.concatenate(held)
-            return ((at - 1) // length, began, data.tobytes())
+            return ((at - 1) // length, began, data.tobytes(), inside)
 
         for batch in batches:
             for rows in slices(batch, "ids"):
                 out = []
-                for _, first, n_tokens, value in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                    ids = _ids_in(value, n_tokens)
+                for doc_id, first, n_tokens, value in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                    ids, start = _ids_in(value, n_tokens), 0
                     if first != at and held:
                         out.append(closed())
-                        held = []
+                        held, inside = [], []
                     at = first
-                    while len(ids):
+                    while start < n_tokens:
                         if not held:
                             began = at % length
-                        part = ids[: length - at % length]
+                        part = ids[start : start + length - at % length]
                         held.append(part)
-                        at, ids = at + len(part), ids[len(part) :]
+                        inside.append((doc_id, start, len(part), n_tokens, at % length))
+                        at, start = at + len(part), start + len(part)
                         if at % length == 0:
                             out.append(closed())
-                            held = []
+                            held, inside = [], []
                 yield _fragments(out)
         if held:
             yield _fragments([closed()])
 
-    found = placed(encoded(documents, tokenizer, end_id)).mapInArrow(run, "sequence_id long, offset long, ids binary")
-    whole = F.octet_length("ids") == 4 * length
+    schema = f"sequence_id long, offset long, n_tokens long, ids binary, pieces {_INSIDE_SQL}"
+    path = new_path(documents.sparkSession, "windows")
+    found = placed(encoded(documents, tokenizer, end_id)).mapInArrow(run, schema)
+    found.write.option("compression", "zstd").parquet(path)
+    found = documents.sparkSession.read.schema(schema).parquet(path)
     merged = (
-        found.filter(~whole)
+        found.filter(F.col("n_tokens") < length)
         .groupBy("sequence_id")
-        .agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
-        .select("sequence_id", F.expr("aggregate(parts, X'', (a, p) -> a || p.ids)").alias("ids"))
+        .agg(F.array_sort(F.collect_list(F.struct("offset", "n_tokens", "ids", "pieces"))).alias("parts"))
+        .select(
+            "sequence_id",
+            F.expr("aggregate(parts, 0L, (a, p) -> a + p.n_tokens)").alias("n_tokens"),
+            F.expr("aggregate(parts, X'', (a, p) -> a || p.ids)").alias("ids"),
+            F.flatten("parts.pieces").alias("pieces"),
+        )
+        .withColumn("ids", F.rpad("ids", 4 * length, F.lit(np.array(pad_id, "<i4").tobytes())))
     )
+    whole = found.filter(F.col("n_tokens") == length)
+    return whole.select("sequence_id", "n_tokens", "ids", "pieces").unionByName(merged)
+
+
+def sequences(documents: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
+    """``sequence_id, n_tokens, ids array<int>, pieces``: ``windows`` with their ids as arrays."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(value, "<u4") for value in column_of(batch, "ids").to_pylist()]
-            padded = [np.pad(i, (0, length - len(i)), constant_values=pad_id).astype(np.int32) for i in ids]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "sequence_id": column_of(batch, "sequence_id"),
-                    "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-                    "ids": pa.array(padded, pa.list_(pa.int32())),
-                }
-            )
+            for rows in slices(batch, "ids"):
+                ids = [np.frombuffer(value, "<i4") for value in column_of(rows, "ids").to_pylist()]
+                yield rows.set_column(rows.schema.get_field_index("ids"), "ids", pa.array(ids, pa.list_(pa.int32())))
+
+    rows = windows(documents, tokenizer, end_id, length, pad_id)
+    return rows.mapInArrow(listed, f"sequence_id long, n_tokens long, ids array<int>, pieces {_INSIDE_SQL}")
+
+
+def pieces_in(found: DataFrame) -> DataFrame:
+    """The rows of ``pieces``, with their ids, as they stand in ``windows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "ids"):
+                out: list[tuple] = []
+                columns = (column_of(rows, name).to_pylist() for name in ("sequence_id", "ids", "pieces"))
+                for sequence, ids, inside in zip(*columns, strict=True):
+                    for p in inside:
+                        part = ids[4 * p["offset"] : 4 * (p["offset"] + p["length"])]
+                        crc = zlib.crc32(part)
+                        out.append((p["doc_id"], p["start"], p["length"], crc, p["doc_tokens"], sequence, p["offset"], part))
+                names = [field.split()[0] for field in PIECE.split(", ")]
+                values = list(zip(*out, strict=True))
+                columns = [pa.array(v, pa.int64()) for v in values[:7]]
+                yield pa.record_batch([*columns, pa.array(values[7], pa.binary())], names=[*names, "ids"])
 
-    rows = found.filter(whole).select("sequence_id", "ids").unionByName(merged)
-    return rows.mapInArrow(listed, "sequence_id long, n_tokens long, ids array<int>")
+    return found.select("sequence_id", "ids", "pieces").mapInArrow(run, PIECE + ", ids binary")
 
 
 def _fragments(rows: list[tuple]) -> pa.RecordBatch:
+    inside = [piece for row in rows for piece in row[3]]
+    ends = np.cumsum([0, *(len(row[3]) for row in rows)])
+    fields = [pa.array([piece[k] for piece in inside], pa.int64()) for k in range(_INSIDE.num_fields)]
     return pa.RecordBatch.from_pydict(
         {
             "sequence_id": pa.array([r[0] for r in rows], pa.int64()),
             "offset": pa.array([r[1] for r in rows], pa.int64()),
+            "n_tokens": pa.array([len(r[2]) // 4 for r in rows], pa.int64()),
             "ids": pa.array([r[2] for r in rows], pa.binary()),
+            "pieces": pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(_INSIDE))
+            ),
         }
     )

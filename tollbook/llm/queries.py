@@ -58,9 +58,9 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048."""
+    """The pieces of all documents, with their ids, as they stand in the written sequences of 2048."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pieces(_documents(spark, sf_dir), tokenizer, end_id=1, keep_ids=False)
+    return packing.pieces_in(packing.windows(_documents(spark, sf_dir), tokenizer, end_id=1))
 
 
 def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
