@@ -94,6 +94,22 @@ def test_spans_and_edges(spark, edge_docs, no_docs):
     assert len(model.scores([LONG, "", "idiot"])) == 3
 
 
+def test_op8_gives_the_spans_of_toxic_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = driver.queries()["op8_toxicity"](spark, SMALL).collect()
+    assert any(r.spans for r in rows)
+    for r in rows:
+        assert [tuple(s) for s in r.spans] == model.spans(texts[r.doc_id])
+
+
+def test_spans_are_offsets_of_the_text_itself():
+    model = toxicity.Field({"idiot": 40.0}, -20.0, np.zeros((2, 2)), np.zeros(2), 1.0, 0.0)
+    text = "\u0130\u0130 you IDIOT, fine"
+    assert [text[a:b] for a, b in model.spans(text)] == ["IDIOT"]
+
+
 @pytest.mark.parametrize("rows", [[], [(1, 1)], [(1, None)], [(1, 0), (2, 0), (1, 0), (None, 1), (99, 1)]])
 def test_labels_of_one_class_or_none_give_a_constant(spark, edge_docs, rows):
     labels = spark.createDataFrame([(i, x, x) for i, x in rows], "doc_id long, toxic int, quality int")

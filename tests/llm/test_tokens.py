@@ -90,6 +90,13 @@ def test_op2_counts_and_stored_tables(spark, pieces):
         assert max(fits) == r.kept_chars
 
 
+def test_op2_stores_its_tables(spark):
+    rows = driver.queries()["op2_token_counts"](spark, SMALL)
+    kept = {r.doc_id: r.kept_chars for r in token_counts.truncated(rows, 4096).collect()}
+    for r in rows.collect():
+        assert token_counts.counts_of(r.steps)[-1] == r.n_tokens and kept[r.doc_id] == r.kept_chars
+
+
 def test_op2_edges(spark, edges, no_docs, pieces):
     rows = token_counts.prefix_tables(edges, PIECES, 4096).collect()
     want = sorted((str(i), len((t or "").encode()), len(pieces.encode(t or ""))) for i, t, *_ in EDGES)

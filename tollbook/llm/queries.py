@@ -39,9 +39,9 @@ def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of every document, from its prefix table."""
+    """Token counts of every document, with its prefix table."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return token_counts.prefix_tables(_documents(spark, sf_dir), model, budget=4096, keep_steps=False)
+    return token_counts.prefix_tables(_documents(spark, sf_dir), model, budget=4096)
 
 
 def op3_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,9 +77,9 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's toxicity under a field fitted to the labels."""
+    """Every document's toxicity and offending spans under a field fitted to the labels."""
     documents = _documents(spark, sf_dir)
-    return toxicity.score_documents(documents, toxicity.train(documents, _labels(spark, sf_dir)))
+    return toxicity.score_documents(documents, toxicity.train(documents, _labels(spark, sf_dir)), spans=True)
 
 
 def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,7 +161,9 @@ class Field:
 
         Marginals below ``NEGLIGIBLE`` count as none: they would add up in long texts.
         """
-        p, sizes = self.token_marginals(texts)
+        return self._counted(*self.token_marginals(texts))
+
+    def _counted(self, p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         p = np.where(p < NEGLIGIBLE, 0.0, p)
         sums = np.concatenate([[0.0], np.cumsum(p)])
         ends = np.cumsum(sizes)
@@ -169,20 +171,37 @@ class Field:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Probability of label 1 of each text."""
-        return 1 / (1 + np.exp(-(self.slope * _log_count(self.expected(texts)) + self.shift)))
+        return self._scored(self.expected(texts))
+
+    def _scored(self, expected: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * _log_count(expected) + self.shift)))
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """Runs of tokens that are toxic with probability one half or more, as code-point offsets."""
-        p, _ = self.token_marginals([text])
-        lowered = text.lower()
-        places = WORD.finditer(text if len(lowered) == len(text) else lowered)
-        out: list[tuple[int, int]] = []
-        before = False
-        for match, toxic in zip(places, (p >= 0.5).tolist(), strict=False):
-            if toxic:
-                out.append((out.pop()[0] if before else match.start(), match.end()))
-            before = toxic
-        return out
+        return self.scores_and_spans([text])[1][0]
+
+    def scores_and_spans(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
+        """``scores`` and ``spans`` of each text, from the same marginals."""
+        p, sizes = self.token_marginals(texts)
+        ends, toxic = np.cumsum(sizes), p >= 0.5
+        spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+        for k in np.unique(np.searchsorted(ends, np.flatnonzero(toxic), side="right")).tolist():
+            spans[k] = _runs(texts[k], toxic[ends[k] - sizes[k] : ends[k]])
+        return self._scored(self._counted(p, sizes)), spans
+
+
+def _runs(text: str, toxic: np.ndarray) -> list[tuple[int, int]]:
+    lowered = text.lower()
+    out: list[tuple[int, int]] = []
+    before = False
+    for match, on in zip(WORD.finditer(lowered), toxic.tolist(), strict=True):
+        if on:
+            out.append((out.pop()[0] if before else match.start(), match.end()))
+        before = on
+    if len(lowered) != len(text):  # some code points are several in lower case
+        at = [k for k, c in enumerate(text) for _ in c.lower()]
+        out = [(at[a], at[b - 1] + 1) for a, b in out]
+    return out
 
 
 def _log_count(expected: np.ndarray) -> np.ndarray:
@@ -316,7 +335,7 @@ def score_documents(documents: DataFrame, model: Field, threshold: float = THRES
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         texts = texts_of(batch)
-        score = model.scores(texts)
+        score, found = model.scores_and_spans(texts) if spans else (model.scores(texts), [])
         out = {
             "doc_id": column_of(batch, "doc_id"),
             "held_out": column_of(batch, "held_out"),
@@ -324,9 +343,8 @@ def score_documents(documents: DataFrame, model: Field, threshold: float = THRES
             "predicted": pa.array((score >= threshold).astype(np.int32)),
         }
         if spans:
-            found = [[{"begin": a, "end": b} for a, b in model.spans(text)] for text in texts]
             kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-            out["spans"] = pa.array(found, kind)
+            out["spans"] = pa.array([[{"begin": a, "end": b} for a, b in runs] for runs in found], kind)
         return out
 
     rows = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
