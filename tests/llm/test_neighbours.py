@@ -144,6 +144,14 @@ def test_op4_edges(edges, no_docs):
     assert near_duplicates.keep_one(no_docs).collect() == []
 
 
+def test_one_document_of_a_class_without_ids_or_with_one_id_stays(spark):
+    text = " ".join(f"w{k}" for k in range(80))
+    rows = [(None, text), (None, f"{text} x"), (None, f"{text} y")]
+    rows += [(7, text.replace("w", "v")), (7, text.replace("w", "v") + " x"), (8, text.replace("w", "v") + " y")]
+    kept = near_duplicates.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r.doc_id for r in kept) == Counter([None, 7])
+
+
 @pytest.mark.parametrize("block", [1024, 9])
 def test_large_group_of_near_copies_loses_no_link(spark, monkeypatch, block):
     monkeypatch.setattr(near_duplicates, "BLOCK", block)

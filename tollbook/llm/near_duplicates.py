@@ -161,9 +161,10 @@ def _links_in_blocks(table: pa.Table, threshold: float) -> pa.Table:
 
 
 def text_classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """The signed documents and ``node, least, class_id`` of every different text.
+    """The signed documents and ``node, least, class_id, head`` of every different text.
 
     ``least`` is the smallest id of the text's documents, ``class_id`` that of its class.
+    ``head`` marks one text of each class: that of the smallest id, then of the smallest digest.
     """
     signs = saved(signed(documents), "signs")
     nodes = signs.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
@@ -188,8 +189,10 @@ def text_classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[Da
 
     placed = nodes.join(labels, "id", "left").select("node", "least", F.coalesce("comp", "id").alias("comp"))
     placed = saved(placed, "placed")
-    heads = saved(placed.groupBy("comp").agg(F.min("least").alias("class_id")), "heads")
-    return signs, saved(placed.join(heads, "comp").select("node", "least", "class_id"), "classes")
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("first")
+    heads = saved(placed.groupBy("comp").agg(first).select("comp", F.col("first.least").alias("class_id"), F.col("first.node").alias("first")), "heads")
+    head = (F.col("node") == F.col("first")).alias("head")
+    return signs, saved(placed.join(heads, "comp").select("node", "least", "class_id", head), "classes")
 
 
 def near_duplicate_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -207,11 +210,12 @@ def near_duplicate_classes(documents: DataFrame, threshold: float = THRESHOLD) -
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its columns.
 
-    Of rows that repeat with the same id and text, one stays.
+    Of rows that repeat with the same id and text, one stays. Of different texts with
+    the smallest id, or of a class without any id, that of the smallest digest stays.
     """
     signs, classes = text_classes(documents, threshold)
     rows = signs.select("node", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(classes, "node")
-    keeps = F.col("least").eqNullSafe(F.col("class_id")) & (F.col("key") == F.coalesce("class_id", F.lit(NO_ID)))
+    keeps = F.col("head") & (F.col("key") == F.coalesce("class_id", F.lit(NO_ID)))
     found = rows.groupBy("node", "key").agg(F.count("*").alias("n"), F.max(keeps).alias("keeps"))
     found = saved(found.filter("not keeps or n > 1"), "dropped")
     names = documents.columns
