@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import zlib
 
@@ -126,6 +127,18 @@ def test_sample_is_bounded_and_leaves_the_fold_out(spark):
     assert labelled.training_rows(named, labels, "toxic", 10_000).count() == len(known)
 
 
+def test_sample_has_one_row_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(2, "b"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (4, 0)], "doc_id long, toxic int")
+    known = {r.doc_id for r in labels.filter(~labelled.held_out(F.col("doc_id"))).collect()}
+    assert 1 in known
+    for parts in (1, 7):
+        rows = labelled.training_rows(docs.repartition(parts), labels, "toxic", 10).collect()
+        assert len(rows) == len(known)
+        least = min((f"text {k}" for k in range(50)), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+        assert [r.text for r in rows if r.label] == [least]
+
+
 def test_trees_find_a_rule_and_walk_as_arrays():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 3))

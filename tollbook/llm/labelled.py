@@ -18,6 +18,7 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, most: int
 
     The sample is the first by a hash of the id. Labels that are null, or whose
     document is missing, are left out; a document with two labels counts as 1 if any is.
+    Of rows that repeat an id, the text with the smallest digest is taken.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     drawn = (
@@ -27,4 +28,6 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, most: int
         .limit(most)
     )
     # The drawn rows are at most `most` pairs of numbers, so they can be broadcast.
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id").select("text", "label")
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    least = F.min_by("text", F.md5("text")).alias("text")
+    return rows.groupBy("doc_id").agg(least, F.first("label").alias("label")).select("text", "label")
