@@ -1,0 +1,133 @@
+"""Centroid clustering against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as driver
+from compare import canonical, duck
+from conftest import SMALL
+from tollbook.llm import pca_clusters
+from tollbook.llm.pca_clusters import LARGEST, Centroids, cluster, rotation_of
+
+SCHEMA = "vec_id long, embedding array<double>, cluster string"
+
+
+def by_hand(vectors, clusters=16, rounds=3, components=64):
+    """Rows of the clustering, with Python's integers and no filter."""
+    kept = [
+        (i, tuple(math.floor(64 * float(x)) for x in v))
+        for i, v in vectors
+        if v is not None and len(v) == components and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    order = sorted((hashlib.sha256(f"1:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    centroids = [v for _, v in order][:clusters]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), k) for k, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        own = [nearest(v)[1] for _, v in kept]
+        for k in set(own):
+            members = [v for (_, v), at in zip(kept, own) if at == k]
+            centroids[k] = tuple(sum(column) // len(members) for column in zip(*members))
+    found = [(i, *nearest(v)) for i, v in kept]
+    inertia = Counter()
+    for _, distance, k in found:
+        inertia[k] += distance
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return Counter((i, k, d, inertia[k], sum(inertia.values()), digest[k]) for i, d, k in found)
+
+
+def rows_of(frame):
+    return Counter(map(tuple, frame.collect()))
+
+
+def vector(seed, size=64, scale=1.0):
+    source = random.Random(seed)
+    return [source.uniform(-scale, scale) for _ in range(size)]
+
+
+def test_op11_equals_brute_force(spark):
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
+    want = by_hand([(r.vec_id, r.embedding) for r in table])
+    assert rows_of(driver.queries()["op11_pca_clusters"](spark, SMALL)) == want
+
+
+def test_op11_equals_its_statement(spark):
+    got = driver.queries()["op11_pca_clusters"](spark, SMALL).toPandas()
+    want = duck(SMALL).execute(driver.oracle_sql()["op11_pca_clusters"]).df()
+    assert canonical(got) == canonical(want)
+
+
+def test_unusable_vectors_ties_and_repeats(spark):
+    """Equal, repeated, null, short and non-finite vectors; a third of all rows one vector; an id twice and none."""
+    hot = vector(0)
+    rows = [(i, hot) for i in range(40)] + [(100 + i, vector(i)) for i in range(60)] + [(None, vector(3)), (7, hot), (100, vector(9))]
+    rows += [(200, None), (201, []), (202, vector(1, 63)), (203, vector(1, 65)), (204, [None, *vector(1, 63)])]
+    rows += [(205, [math.nan, *vector(1, 63)]), (206, [math.inf, *vector(1, 63)]), (207, [0.0] * 64), (208, [-0.0] * 64)]
+    frame = spark.createDataFrame([(*row, "x") for row in rows], SCHEMA).repartition(5)
+    assert rows_of(cluster(frame)) == by_hand(rows)
+
+
+@pytest.mark.parametrize("count", [1, 5, 16])
+def test_as_many_clusters_as_vectors(spark, count):
+    rows = [(i, vector(i)) for i in range(count)]
+    frame = spark.createDataFrame([(*row, "x") for row in rows], SCHEMA)
+    assert rows_of(cluster(frame)) == by_hand(rows)
+
+
+def test_empty_clusters_stay(spark):
+    """Equal starting vectors: the larger numbers stay empty and keep their centroid."""
+    rows = [(i, vector(0)) for i in range(30)] + [(30, vector(1))]
+    frame = spark.createDataFrame([(*row, "x") for row in rows], SCHEMA)
+    found = cluster(frame)
+    assert rows_of(found) == by_hand(rows)
+    assert found.select("cluster").distinct().count() <= 2
+
+
+def test_no_vectors(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    unusable = spark.createDataFrame([(1, [1.0], "x"), (2, None, "x")], SCHEMA)
+    for frame in (none, unusable):
+        assert cluster(frame).collect() == []
+
+
+def test_components_of_any_size_up_to_the_bound(spark):
+    rows = [(i, vector(i, scale=LARGEST / 64)) for i in range(50)]
+    frame = spark.createDataFrame([(*row, "x") for row in rows], SCHEMA)
+    assert {row[:3] for row in rows_of(cluster(frame))} == {row[:3] for row in by_hand(rows)}
+    with pytest.raises(ValueError, match="exact distances"):
+        cluster(frame.union(spark.createDataFrame([(99, [1e30] * 64, "x")], SCHEMA)))
+
+
+def test_bounds_never_lose_the_nearest_and_spare_most_distances(spark):
+    """Clustered vectors, many of them exactly between two centroids."""
+    source = np.random.default_rng(3)
+    centres = source.integers(-60, 60, (16, 64))
+    near = centres[source.integers(0, 16, 4000)] + source.integers(-6, 7, (4000, 64))
+    between = (centres[source.integers(0, 16, 500)] + centres[source.integers(0, 16, 500)]) // 2
+    points = np.concatenate([near, between, centres, centres])
+    frame = spark.createDataFrame([(i, (row / 64).tolist(), "x") for i, row in enumerate(points)], SCHEMA)
+    rotation, rows = rotation_of(frame, 64, 64, pca_clusters.LEADING)
+    assert rows == len(points)
+    assert np.allclose(rotation.axes.T @ rotation.axes, np.eye(64))
+    lead, rest = rotation.split(points.astype(np.float64))
+    found, distance, taken = Centroids.of(centres, rotation).nearest(points, lead.astype(np.float32), rest.astype(np.float32))
+    every = ((points[:, None, :] - centres) ** 2).sum(2)
+    assert (found == every.argmin(1)).all() and (distance == every.min(1)).all()
+    assert taken < 0.25 * every.size
+
+
+def test_driver_gets_sums_only(spark):
+    """The plan of a round sums per cluster before it collects."""
+    rows = [(i, vector(i)) for i in range(64)]
+    frame = spark.createDataFrame([(*row, "x") for row in rows], SCHEMA).repartition(8)
+    plan = cluster(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan

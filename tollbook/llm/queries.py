@@ -15,6 +15,7 @@ from . import (
     hnsw,
     near_duplicates,
     packing,
+    pca_clusters,
     quality,
     sequence_files,
     syncmers,
@@ -93,6 +94,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents, quality.train(documents, _labels(spark, sf_dir)))
 
 
+def op11_pca_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster of sixteen after three rounds."""
+    return pca_clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage, by name."""
     return {
@@ -106,9 +112,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_syncmers": op9_syncmers,
         "op10_quality": op10_quality,
+        "op11_pca_clusters": op11_pca_clusters,
     }
 
 
+def _clusters_sql(rounds: int = 3, clusters: int = 16) -> str:
+    """One pair of steps per round: every vector's nearest centroid, then the floors of the means.
+
+    A vector's nearest centroid is the least ``distance * clusters + number``.
+    """
+    distance = "list_sum(list_transform(list_zip(p.v, c.v), lambda e: (e[1] - e[2]) * (e[1] - e[2])))"
+    steps = [
+        f"""points AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+centroids0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM points
+  ORDER BY sha256('1:' || vec_id), v LIMIT {clusters})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""nearest{i} AS MATERIALIZED (
+  SELECT vec_id, v, best % {clusters} AS c, best // {clusters} AS distance
+  FROM (SELECT p.vec_id, any_value(p.v) AS v, min(CAST({distance} AS BIGINT) * {clusters} + c.c) AS best
+        FROM (SELECT row_number() OVER () AS at, * FROM points) p CROSS JOIN centroids{i} c GROUP BY p.at, p.vec_id))"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""sums{i} AS (
+  SELECT c, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM nearest{i}) GROUP BY c, i),
+centroids{i + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(m.v, o.v) AS v FROM centroids{i} o LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM sums{i} GROUP BY c) m USING (c))"""
+            )
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(k.v, ',')) AS centroid_sha256
+FROM nearest{rounds} JOIN centroids{rounds} k USING (c)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements of the queries that SQL can express."""
-    return {}
+    return {"op11_pca_clusters": _clusters_sql()}
