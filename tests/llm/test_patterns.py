@@ -1,0 +1,151 @@
+"""Packing by length patterns: the plan against its rules, the rows against the tokenizer."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+import __spark_entry__ as driver
+from conftest import SMALL
+from llm_edges import EDGES, edges, no_docs, edge_docs  # noqa: F401
+from tollbook.llm import pattern_packing
+from tollbook.llm.pattern_packing import fitted, patterns, pieces_in, plan, sequences
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def ids_by_library(texts, end_id):
+    library = Tokenizer.from_file(BYTES)
+    return [[*e.ids, end_id] for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def check(rows, docs, length=1024, end_id=2):
+    """Every id of every document in exactly one piece, sequences gapless and no longer than allowed."""
+    want = Counter()
+    for (doc_id, _), ids in zip(docs, ids_by_library([t for _, t in docs], end_id), strict=True):
+        first = len(ids) if len(ids) <= length else len(ids) % length or length
+        cuts = [0, *range(first, len(ids) + 1, length)]
+        for piece, (start, stop) in enumerate(zip(cuts, cuts[1:])):
+            crc = zlib.crc32(np.array(ids[start:stop], "<u4").tobytes())
+            want[doc_id, piece, start, stop - start, crc] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    inside = defaultdict(list)
+    for r in rows:
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length
+        inside[r.sequence_id].append((r.offset, r.length))
+    for parts in inside.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= length
+    return len(inside)
+
+
+def test_op12_packs_every_id_in_few_sequences(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    rows = driver.queries()["op12_pattern_packing"](spark, SMALL).collect()
+    used = check(rows, docs)
+    least = -(-sum(r.length for r in rows) // 1024)
+    assert used <= 1.02 * least + 1
+
+
+@pytest.mark.parametrize("length", [7, 64])
+def test_edges(spark, edges, length):
+    rows = pieces_in(sequences(edges.repartition(3), BYTES, 2, length)).collect()
+    check(rows, [(row[0], row[1]) for row in EDGES], length)
+
+
+def test_no_documents(spark, no_docs):
+    assert sequences(no_docs, BYTES, 2).collect() == []
+
+
+def test_copies_of_one_document_in_many_partitions(spark):
+    """A third of all rows one text, dealt over many partitions: one length, numbered through."""
+    docs = [(i, "copy of the same words") for i in range(900)] + [(1000 + i, "some words " * (i % 90)) for i in range(1800)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(11)
+    used = check(pieces_in(sequences(frame, BYTES, 2, 128)).collect(), docs, 128)
+    total = sum(map(len, ids_by_library([t for _, t in docs], 2)))
+    assert used <= 1.03 * total / 128 + 1
+
+
+def placed(histogram):
+    """All pieces of a histogram by the plan: sequence -> sorted (offset, length)."""
+    packing = plan(histogram)
+    inside = defaultdict(list)
+    for size, count in enumerate(histogram.tolist()):
+        if size and count and size < len(histogram) - 1:
+            sequence, offset = packing.place(np.full(count, size), np.arange(count))
+            for s, o in zip(sequence.tolist(), offset.tolist(), strict=True):
+                inside[s].append((o, size))
+    return inside, packing
+
+
+def check_plan(histogram):
+    inside, packing = placed(histogram)
+    assert sorted(inside) == list(range(packing.sequences))
+    for parts in inside.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at < len(histogram)
+    return len(inside)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=2, max_size=40))
+def test_plan_places_every_piece_once(counts):
+    check_plan(np.array([0, *counts, 0]))
+
+
+def best_fit_by_hand(histogram):
+    length, bins = len(histogram) - 1, []
+    for size in range(length - 1, 0, -1):
+        for _ in range(histogram[size]):
+            room = [b for b in bins if b[0] >= size]
+            if room:
+                min(room)[0] -= size
+            else:
+                bins.append([length - size])
+    return len(bins)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(0, 6), min_size=20, max_size=20))
+def test_best_fit_on_counts_equals_best_fit_by_piece(counts):
+    histogram = np.array([0, *counts, 0])
+    assert sum(count for count, _ in pattern_packing._best_fit(histogram)) == best_fit_by_hand(histogram)
+
+
+@pytest.mark.parametrize("scale", [1, 30, 1000])
+def test_plan_is_near_the_least_number(scale):
+    source = np.random.default_rng(scale)
+    sizes = np.minimum(1023, np.maximum(1, source.lognormal(6, 0.9, 3000))).astype(int)
+    histogram = np.bincount(sizes, minlength=1025) * scale
+    packing = plan(histogram)
+    least = -(-int(histogram @ np.arange(1025)) // 1024)
+    assert packing.sequences <= 1.005 * least + 1
+
+
+def test_fit_is_the_least_squares_solution():
+    """Against the optimality conditions: no pattern's gradient is negative, none in use has one."""
+    source = np.random.default_rng(1)
+    histogram = source.integers(0, 50, 33)
+    histogram[0] = histogram[-1] = 0
+    rows = patterns(histogram > 0)
+    assert (rows.sum(1) == 32).all() and len({tuple(r) for r in rows.tolist()}) == len(rows)
+    x = fitted(histogram, rows, steps=20_000)
+    matrix = np.zeros((33, len(rows)))
+    for column, row in enumerate(rows):
+        for size in row[row > 0]:
+            matrix[size, column] += 1
+    gradient = matrix.T @ (matrix @ x - histogram)
+    assert (x >= 0).all() and gradient.min() > -1e-3 and abs(gradient @ x) < 1e-2 * len(rows)

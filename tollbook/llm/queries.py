@@ -15,6 +15,7 @@ from . import (
     hnsw,
     near_duplicates,
     packing,
+    pattern_packing,
     pca_clusters,
     quality,
     sequence_files,
@@ -99,6 +100,12 @@ def op11_pca_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pca_clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, with their ids, as they stand in as few sequences of 1024 as patterns give."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return pattern_packing.pieces_in(pattern_packing.sequences(_documents(spark, sf_dir), tokenizer, end_id=2))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage, by name."""
     return {
@@ -113,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_syncmers": op9_syncmers,
         "op10_quality": op10_quality,
         "op11_pca_clusters": op11_pca_clusters,
+        "op12_pattern_packing": op12_pattern_packing,
     }
 
 
