@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..workspace import new_path
 from . import (
     byte_bpe,
+    divergence,
     hilbert,
     hnsw,
     near_duplicates,
@@ -106,6 +107,11 @@ def op12_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pieces_in(pattern_packing.sequences(_documents(spark, sf_dir), tokenizer, end_id=2))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, and by which terms."""
+    return divergence.audit(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage, by name."""
     return {
@@ -121,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality": op10_quality,
         "op11_pca_clusters": op11_pca_clusters,
         "op12_pattern_packing": op12_pattern_packing,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -161,6 +168,41 @@ SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance,
 FROM nearest{rounds} JOIN centroids{rounds} k USING (c)"""
 
 
+_DIVERGENCE_SQL = r"""WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+counts AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs
+  FROM (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d)
+  GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS lang_n FROM counts GROUP BY ALL HAVING sum(docs) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN (SELECT counts.* FROM counts SEMI JOIN kept USING (lang, term)) c USING (lang, source)
+  GROUP BY g.lang, g.source),
+shares AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (g.total + 5 * l.v) AS p,
+         1 + 1000000000::HUGEINT * (k.lang_n + 5) // (l.lang_total + 5 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(p.value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements of the queries that SQL can express."""
-    return {"op11_pca_clusters": _clusters_sql()}
+    return {"op11_pca_clusters": _clusters_sql(), "op13_source_divergence": _DIVERGENCE_SQL}
