@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reports import report_named
-from ..workspace import child_names
+from ..workspace import beside, child_names, delete, replace
+from .versions import current_version, new_version, publish
 
 # The columns of a written report.
 REPORT_SCHEMAS = {
@@ -19,26 +20,54 @@ REPORT_SCHEMAS = {
 }
 
 
-def write_report(report: DataFrame, path: str, sort_by: Sequence[str], files: int = 1) -> int:
-    """Writes a report in sort order, replacing the earlier one, and returns its row count.
-
-    The report is computed once, whatever its size. It is range-partitioned on the
-    sort columns and sorted per partition, so its files in name order are the sorted
-    report. ``files`` is their number: one, the default, suits reports that one task
-    can sort (it spills); give more for more rows.
-    """
+def _write(report: DataFrame, path: str, sort_by: Sequence[str], files: int) -> int:
     written = Observation()
     (
         report.repartitionByRange(files, *sort_by)
         .sortWithinPartitions(*sort_by)
         .observe(written, F.count("*").alias("rows"))
-        .write.mode("overwrite")
-        .option("header", True)
+        .write.option("header", True)
         .csv(path)
     )
     return written.get["rows"]
 
 
+def write_report(
+    report: DataFrame, path: str, sort_by: Sequence[str], files: int = 1, keep: int | None = None, empty: bool = True
+) -> int:
+    """Writes a report in sort order in the place of the earlier one and returns its row count.
+
+    The report is computed once, whatever its size. It is range-partitioned on the
+    sort columns and sorted per partition, so its files in name order are the sorted
+    report. ``files`` is their number: one, the default, suits reports that one task
+    can sort (it spills); give more for more rows.
+
+    The files are written beside ``path`` first; a failure leaves the earlier report.
+    Then, without ``keep``, the folders change places by renaming, so for a moment
+    there is none. With ``keep`` the report becomes a version below ``path`` and the
+    ``keep`` versions before it stay for readers that have begun (see ``versions``);
+    ``read_report`` reads the newest. On stores where renaming copies, use versions.
+
+    A report without rows replaces the earlier one only if ``empty`` is set. The row
+    count is taken in the tasks that write, of which Spark counts each once, however
+    often tasks before them are repeated.
+    """
+    spark = report.sparkSession
+    staged = beside(path, "staged") if keep is None else new_version(spark, path)
+    try:
+        rows = _write(report, staged, sort_by, files)
+    except BaseException:
+        delete(spark, staged)
+        raise
+    if not rows and not empty:
+        delete(spark, staged)
+    elif keep is None:
+        replace(spark, path, staged)
+    else:
+        publish(spark, path, staged, keep)
+    return rows
+
+
 def preview(report: DataFrame, sort_by: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows of a report in sort order."""
     return report.orderBy(*sort_by).limit(n)
@@ -57,14 +86,14 @@ def refuse_parts(spark: SparkSession, path: str) -> None:
 
 
 def read_report(spark: SparkSession, name: str, path: str, mode: str = "complete") -> DataFrame:
-    """A written report with its types, as batch and complete mode leave it at ``path``.
+    """A written report with its types, as batch and complete mode leave it at ``path``: its newest version, if it has any.
 
     ``append`` and ``update`` read the parts beside it: in append mode all rows, in
     update mode the last value written of each group.
     """
     report, schema = report_named(name), REPORT_SCHEMAS[name]
     if mode == "complete":
-        return spark.read.schema(schema).option("header", True).csv(path)
+        return spark.read.schema(schema).option("header", True).csv(current_version(spark, path) or path)
     parts = spark.read.schema(f"{schema}, query_id string, batch_id bigint").option("header", True)
     rows = parts.csv(parts_path(path, mode))
     if mode == "append":

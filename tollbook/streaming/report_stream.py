@@ -22,39 +22,42 @@ INTAKE_METRICS = "cdr_intake"
 _log = logging.getLogger(__name__)
 
 
-def _write_batch(rows: DataFrame, path: str, report: Report, output_mode: str, batch_id: int, preview_rows: int) -> None:
-    """Writes one micro-batch of a report; an empty one writes nothing."""
-    if rows.isEmpty():
-        _log.info("%s, micro-batch %d: 0 rows", report.name, batch_id)
-        return
+def _write_batch(
+    rows: DataFrame, path: str, report: Report, output_mode: str, batch_id: int, preview_rows: int, keep: int | None = None
+) -> None:
+    """Writes one micro-batch of a report; an empty one leaves what is there."""
     target = path
     if output_mode != "complete":
         # The query's id is that of its checkpoint, so a restart goes on in its own folder.
         query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        target = f"{parts_path(path, output_mode)}/query_id={query_id}/batch_id={batch_id}"
-    written = write_report(rows, target, report.sort_by)
+        target, keep = f"{parts_path(path, output_mode)}/query_id={query_id}/batch_id={batch_id}", None
+    written = write_report(rows, target, report.sort_by, keep=keep, empty=False)
     _log.info("%s, micro-batch %d: %d rows", report.name, batch_id, written)
-    if preview_rows:
+    if preview_rows and written:
         preview(rows, report.sort_by, preview_rows).show(preview_rows, truncate=False)
 
 
 def report_sink(
-    path: str, report: Report, output_mode: str = "complete", preview_rows: int = 0
+    path: str, report: Report, output_mode: str = "complete", preview_rows: int = 0, keep: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` callback that writes a report's micro-batches as CSV.
 
-    In complete mode each micro-batch is the whole result and replaces ``path``. In
-    append and update mode it is a part and goes to a folder of the mode, the query
-    and the micro-batch beside it (``parts_path``), which no batch job or other
-    query overwrites. A repeated micro-batch leaves the same files. An empty one
-    writes nothing. The batch is persisted, as it is looked at and then written; an
-    error fails the query, which resumes from its checkpoint.
+    In complete mode each micro-batch is the whole result and replaces ``path``, as
+    plain files or, with ``keep``, as a version (``write_report``). In append and
+    update mode it is a part and goes to a folder of the mode, the query and the
+    micro-batch beside it (``parts_path``), which no batch job or other query
+    overwrites. A repeated micro-batch leaves the same files. An empty one writes
+    nothing. The batch is computed once (persisted if it is shown as well); an error
+    fails the query, which resumes from its checkpoint.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if not preview_rows:
+            _write_batch(batch, path, report, output_mode, batch_id, 0, keep)
+            return
         batch.persist()
         try:
-            _write_batch(batch, path, report, output_mode, batch_id, preview_rows)
+            _write_batch(batch, path, report, output_mode, batch_id, preview_rows, keep)
         finally:
             batch.unpersist()
 

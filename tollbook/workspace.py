@@ -61,6 +61,58 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(java_path))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder."""
+    system, java_path = _hadoop_path(spark, path)
+    return system.exists(java_path)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Makes an empty file: it is there or not, but never there in part."""
+    system, java_path = _hadoop_path(spark, path)
+    system.create(java_path, True).close()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a folder to a name that is free, in the same file system; FileExistsError where it is taken."""
+    system, java_path = _hadoop_path(spark, path)
+    _, java_to = _hadoop_path(spark, to)
+    if system.exists(java_to):
+        raise FileExistsError(to)
+    system.mkdirs(java_to.getParent())
+    if not system.rename(java_path, java_to):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def beside(path: str, label: str) -> str:
+    """A new path next to ``path``, in a folder name that readers skip."""
+    above, _, name = path.rstrip("/").rpartition("/")
+    return f"{above}/_{label}-{name}-{uuid4().hex}"
+
+
+def replace(spark: SparkSession, path: str, by: str) -> None:
+    """Puts the folder ``by`` in the place of ``path`` with two renames; what was there goes afterwards."""
+    old = beside(path, "replaced")
+    had = exists(spark, path)
+    if had:
+        rename(spark, path, old)
+    rename(spark, by, path)
+    if had:
+        delete(spark, old)
+
+
+def file_states(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files that a path or pattern stands for: another text once one of them changes."""
+    system, java_path = _hadoop_path(spark, path)
+    found = []
+    for status in system.globStatus(java_path) or []:
+        files = system.listFiles(status.getPath(), True)
+        while files.hasNext():
+            file = files.next()
+            found.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a folder of a run, and the folder above it if that is an empty ``_scratch``."""
     system, java_path = _hadoop_path(spark, path)
