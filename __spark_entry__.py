@@ -7,14 +7,15 @@ payment type (2 has no label), ``value`` as the charge. Decimals leave as double
 
 from __future__ import annotations
 
-import math
 import time
+import warnings
 from collections.abc import Callable
 from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 import tollbook as tb
 from tollbook.sources.schema import CDR_SCHEMA
@@ -23,8 +24,13 @@ from tollbook.workspace import new_path
 try:  # the subpackage is optional, and so is what its queries need
     import corpus_pipeline
     from tollbook.llm import queries as llm
-except ImportError:
+except ImportError as missing:
     llm = None
+    if missing.name not in ("corpus_pipeline", "tollbook.llm"):
+        warnings.warn(f"the queries of tollbook.llm are left out: {missing}", stacklevel=1)
+
+#: Files of the usage records, so that a stream has several micro-batches.
+FILES = 8
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -109,11 +115,11 @@ def _labels_for(name: str, spark: SparkSession) -> DataFrame | None:
 
 
 def _cdr_files(spark: SparkSession, sf_dir: str) -> str:
-    """Directory of CSV files, with header lines, of all usage records."""
+    """Directory of at least eight CSV files, with header lines, of all usage records."""
 
     def write() -> str:
         path = new_path(spark, "cdr")
-        cdr_rows(spark, sf_dir).write.option("header", True).csv(path)
+        cdr_rows(spark, sf_dir).repartition(FILES).write.option("header", True).csv(path)
         return path
 
     return _once(spark, "cdr", sf_dir, make=write)
@@ -134,6 +140,11 @@ def q_cdr_clean_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(tb.clean_cdr(dirty_cdr_rows(spark, sf_dir)).select("event_time", "paytype", "debit_amount"))
 
 
+def q_run_counts_by_cause(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unusable records by what is wrong with them."""
+    return tb.run_counts_by_cause(tb.window_cells(tb.parse_cdr(dirty_cdr_rows(spark, sf_dir))))
+
+
 def q_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.run_counts(tb.window_cells(tb.parse_cdr(dirty_cdr_rows(spark, sf_dir))))
 
@@ -188,21 +199,44 @@ def q_batch_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
 
 
-def _drain(spark: SparkSession, name: str, cdr_path: str, out: str, checkpoint: str, **options: object) -> None:
+def _drain(spark: SparkSession, name: str, cdr_path: str, out: str, checkpoint: str, **options: object) -> StreamingQuery:
     """Runs a report stream over the files that are there now."""
     now = {"availableNow": True}
-    labels = _labels_for(name, spark)
-    tb.stream_report(spark, name, cdr_path, out, checkpoint, labels, trigger=now, **options).awaitTermination()
+    labels = options.pop("labels", None) or (_paytype_file(spark) if tb.REPORTS[name].labelled else None)
+    query = tb.stream_report(spark, name, cdr_path, out, checkpoint, labels, trigger=now, **options)
+    query.awaitTermination()
+    return query
+
+
+def _drain_all(spark: SparkSession, cdr_path: str, out: str, checkpoint: str, **options: object) -> StreamingQuery:
+    """Runs one stream of all reports over the files that are there now."""
+    now, labels = {"availableNow": True}, _paytype_file(spark)
+    query = tb.stream_reports(spark, list(tb.REPORTS), cdr_path, out, checkpoint, labels, trigger=now, **options)
+    query.awaitTermination()
+    return query
+
+
+def _check_batches(query: StreamingQuery, least: int = 4) -> None:
+    """RuntimeError if a stream that is to carry state from one micro-batch to the next had too few of them."""
+    batches = sum(1 for progress in query.recentProgress if progress.numInputRows)
+    if batches < least:
+        raise RuntimeError(f"{batches} micro-batches instead of {least}")
 
 
 def q_stream_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report stream over the CSV files, about a quarter of them per micro-batch."""
+    """A report stream over the CSV files, a quarter of them per micro-batch."""
     cdr_path, out = _cdr_files(spark, sf_dir), new_path(spark, "stream")
-    files = len(spark.read.text(cdr_path).inputFiles())
-    _drain(spark, name, cdr_path, out, new_path(spark, "state"), max_files=math.ceil(files / 4))
+    _check_batches(_drain(spark, name, cdr_path, out, new_path(spark, "state"), max_files=FILES // 4))
     return _read_report(spark, name, out)
 
 
+def q_stream_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report stream whose micro-batches are versions; the newest is read."""
+    cdr_path, out = _cdr_files(spark, sf_dir), new_path(spark, "stream")
+    _check_batches(_drain(spark, "minmax_15min", cdr_path, out, new_path(spark, "state"), max_files=FILES // 4, keep=2))
+    return _read_report(spark, "minmax_15min", out)
+
+
 def q_stream_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A named report stream with a processing-time trigger, stopped when it has read all files."""
     out = new_path(spark, "stream")
@@ -221,19 +255,59 @@ def q_stream_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_report(spark, "revenue_15min", out)
 
 
-def q_stream_all(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report of the one stream that keeps all four."""
+def q_stream_all(name: str, mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of the one stream that keeps all four.
+
+    The files are in no order of time, so update mode allows records to be late by more than all of it.
+    """
+
+    def run() -> str:
+        out, state = new_path(spark, "stream-all"), new_path(spark, "state")
+        options = {"output_mode": mode, "watermark": "36500 days" if mode == "update" else "10 minutes"}
+        _check_batches(_drain_all(spark, _cdr_files(spark, sf_dir), out, state, max_files=FILES // 4, **options))
+        return out
+
+    return _read_report(spark, name, f"{_once(spark, 'stream-all', mode, sf_dir, make=run)}/{name}", mode)
+
+
+def _second() -> Column:
+    return F.unix_timestamp("RECORD_DATE", "yyyy/MM/dd HH:mm:ss")
+
+
+def _thirds(cdr: DataFrame) -> list[Column]:
+    """Conditions for the first, second and last third of the time."""
+    second = _second()
+    low, high = cdr.agg(F.min(second), F.max(second)).first()
+    first_cut, second_cut = low + (high - low) // 3, low + 2 * ((high - low) // 3)
+    return [second < first_cut, (second >= first_cut) & (second < second_cut), second >= second_cut]
+
+
+def q_stream_from_batch(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of a stream over the last two thirds of the time that goes on from the window cells of the first."""
 
     def run() -> str:
-        cdr_path, out = _cdr_files(spark, sf_dir), new_path(spark, "stream-all")
-        files = len(spark.read.text(cdr_path).inputFiles())
-        now = {"availableNow": True}
-        names, state, labels = list(tb.REPORTS), new_path(spark, "state"), paytype_map(spark)
-        each = math.ceil(files / 4)
-        tb.stream_reports(spark, names, cdr_path, out, state, labels, trigger=now, max_files=each).awaitTermination()
+        cdr, old, new = cdr_rows(spark, sf_dir), new_path(spark, "old-cdr"), new_path(spark, "new-cdr")
+        first, *rest = _thirds(cdr)
+        cdr.filter(first).write.option("header", True).csv(old)
+        cdr.filter(rest[0] | rest[1]).repartition(FILES).write.option("header", True).csv(new)
+        cells, out = new_path(spark, "cells"), new_path(spark, "from-batch")
+        tb.save_cells(spark, old, cells)
+        _check_batches(_drain_all(spark, new, out, new_path(spark, "state"), max_files=FILES // 4, history=cells))
         return out
 
-    return _read_report(spark, name, f"{_once(spark, 'stream-all', sf_dir, make=run)}/{name}")
+    return _read_report(spark, name, f"{_once(spark, 'from-batch', sf_dir, make=run)}/{name}")
+
+
+def q_stream_map_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A labelled stream whose map is rewritten under it: another label, then a code with two labels, then the right ones."""
+    cdr, source, labels = cdr_rows(spark, sf_dir), new_path(spark, "map-cdr"), new_path(spark, "map")
+    out, state = new_path(spark, "map-out"), new_path(spark, "map-state")
+    for part, entries in zip(_thirds(cdr), [[("0", "Old")], [*PAYTYPES, ("0", "Twice")], PAYTYPES], strict=True):
+        rows = spark.createDataFrame(entries, "PayType string, value string")
+        rows.coalesce(1).write.mode("overwrite").option("header", True).csv(labels)
+        cdr.filter(part).write.mode("append").option("header", True).csv(source)
+        _drain(spark, "count_revenue_15min", source, out, state, labels=labels, max_files=None)
+    return _read_report(spark, "count_revenue_15min", out)
 
 
 def q_stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,30 +327,37 @@ def q_stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_report(spark, "revenue_15min", out)
 
 
-def _run_late(name: str, mode: str, spark: SparkSession, sf_dir: str, out: str | None = None) -> str:
+def _run_late(name: str, mode: str, spark: SparkSession, sf_dir: str, out: str | None = None, fold: bool = False) -> str:
     """Three drops of files, the first third of the time last, each drained by a restarted query.
 
     By then the watermark is far past those records: append and update mode drop
     them, complete mode counts them. One drop is one micro-batch, however many files.
+    With ``fold`` the parts are folded after each drop; ``all`` is the one stream of
+    all reports.
     """
     cdr, source = cdr_rows(spark, sf_dir), new_path(spark, "late-cdr")
     out, state = out or new_path(spark, "late-out"), new_path(spark, "late-state")
-    second = F.unix_timestamp("RECORD_DATE", "yyyy/MM/dd HH:mm:ss")
-    low, high = cdr.agg(F.min(second), F.max(second)).first()
-    first_cut, second_cut = low + (high - low) // 3, low + 2 * ((high - low) // 3)
-    for drop in (
-        (second >= first_cut) & (second < second_cut),
-        second >= second_cut,
-        second < first_cut,
-    ):
+    first, second, last = _thirds(cdr)
+    for drop in (second, last, first):
         cdr.filter(drop).write.mode("append").option("header", True).csv(source)
-        _drain(spark, name, source, out, state, output_mode=mode, max_files=None)
+        if name == "all":
+            _drain_all(spark, source, out, state, output_mode=mode, max_files=None)
+        else:
+            _drain(spark, name, source, out, state, output_mode=mode, max_files=None)
+        if fold:
+            tb.compact_report(spark, name, out, mode, checkpoint=state)
     return out
 
 
-def q_stream_late(name: str, mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stream_late(name: str, mode: str, spark: SparkSession, sf_dir: str, fold: bool = False) -> DataFrame:
     """What a mode has written; in update mode the last value of each window."""
-    return _read_report(spark, name, _run_late(name, mode, spark, sf_dir), mode)
+    return _read_report(spark, name, _run_late(name, mode, spark, sf_dir, fold=fold), mode)
+
+
+def q_stream_all_late_append(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of the one stream of all in append mode, over files of which some are late."""
+    out = _once(spark, "all-late", sf_dir, make=lambda: _run_late("all", "append", spark, sf_dir))
+    return _read_report(spark, name, f"{out}/{name}", "append")
 
 
 def q_stream_append_beside_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,6 +379,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdr_clean": q_cdr_clean,
         "cdr_clean_dirty": q_cdr_clean_dirty,
         "run_counts": q_run_counts,
+        "run_counts_by_cause": q_run_counts_by_cause,
         "paytype_label_join": q_paytype_label_join,
         "paytype_label_join_large_map": q_paytype_label_join_large_map,
         **{name: partial(q_report, name) for name in tb.REPORTS},
@@ -309,13 +391,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{f"batch_job_{name}": partial(q_batch_job, name) for name in tb.REPORTS},
         "batch_job_counts": q_batch_job_counts,
         **{f"stream_{name}": partial(q_stream_report, name) for name in tb.REPORTS},
-        **{f"stream_all_{name}": partial(q_stream_all, name) for name in tb.REPORTS},
+        "stream_versions": q_stream_versions,
+        **{f"stream_all_{name}": partial(q_stream_all, name, "complete") for name in tb.REPORTS},
+        **{f"stream_all_update_{name}": partial(q_stream_all, name, "update") for name in tb.REPORTS},
+        **{f"stream_all_late_append_{name}": partial(q_stream_all_late_append, name) for name in tb.REPORTS},
+        **{f"stream_from_batch_{name}": partial(q_stream_from_batch, name) for name in tb.REPORTS},
+        "stream_map_change": q_stream_map_change,
         "stream_named": q_stream_named,
         "stream_old_files": q_stream_old_files,
         "stream_late_complete": partial(q_stream_late, "revenue_15min", "complete"),
         "stream_late_append": partial(q_stream_late, "revenue_15min", "append"),
         "stream_late_append_minmax": partial(q_stream_late, "minmax_15min", "append"),
         "stream_late_append_count_revenue": partial(q_stream_late, "count_revenue_15min", "append"),
+        "stream_late_append_daily": partial(q_stream_late, "daily_revenue", "append"),
+        "stream_late_append_folded": partial(q_stream_late, "revenue_15min", "append", fold=True),
+        "stream_late_update_folded": partial(q_stream_late, "revenue_15min", "update", fold=True),
         "stream_late_update": partial(q_stream_late, "revenue_15min", "update"),
         "stream_append_beside_batch": q_stream_append_beside_batch,
         **({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}),
@@ -411,6 +501,32 @@ SELECT {_WINDOW}, paytype_label AS Pay_type, count(*) AS record_count, CAST(sum(
 FROM on_time LEFT JOIN labels_of USING (paytype) GROUP BY 1, 2 {_CLOSED}"""
 
 
+_DAY = "strftime(event_time, '%Y-%m-%d') AS date, CAST(sum(debit_amount) AS DOUBLE) AS daily_revenue"
+
+_LATE_APPEND_DAILY = f"""WITH {_CDR}, {_ON_TIME}
+SELECT {_DAY} FROM on_time GROUP BY 1
+HAVING CAST(date AS TIMESTAMP) + INTERVAL '1 day' <= (SELECT max(event_time) FROM cdr) - INTERVAL '10 minutes'"""
+
+# From cells: a day is over once a window of a later day is closed.
+_LATE_APPEND_DAILY_CELLS = f"""WITH {_CDR}, {_ON_TIME},
+closed AS (SELECT {_WINDOW} FROM on_time GROUP BY time_bucket(INTERVAL '15 minutes', event_time) {_CLOSED})
+SELECT {_DAY} FROM on_time GROUP BY 1 HAVING date < (SELECT strftime(max(RECORD_DATE), '%Y-%m-%d') FROM closed)"""
+
+_CAUSES = f"""WITH {_DIRTY},
+caused AS (
+  SELECT CASE WHEN event_time IS NULL THEN 2 ELSE 0 END + CASE WHEN d.debit IS NULL THEN 4 ELSE 0 END
+    + CASE WHEN d.debit IS NOT NULL AND TRY_CAST(d.debit AS DECIMAL(14,2)) IS NULL THEN 8 ELSE 0 END
+    + CASE WHEN d.paytype_text <> '' AND paytype IS NULL THEN 16 ELSE 0 END AS cause
+  FROM (SELECT row_number() OVER () AS id, * FROM dirty) d JOIN (SELECT row_number() OVER () AS id, * FROM parsed) USING (id)
+  WHERE event_time IS NULL OR debit_amount IS NULL)
+SELECT CAST(cause AS INTEGER) AS cause, count(*) AS rejected_rows,
+  array_to_string(list_filter(
+    [CASE WHEN cause & 2 > 0 THEN 'malformed time' END, CASE WHEN cause & 4 > 0 THEN 'no charge' END,
+     CASE WHEN cause & 8 > 0 THEN 'charge out of range' END, CASE WHEN cause & 16 > 0 THEN 'malformed payment type' END],
+    lambda reason: reason IS NOT NULL), ', ') AS reasons
+FROM caused GROUP BY cause"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The DuckDB statement of every registered query."""
     return {
@@ -419,6 +535,7 @@ def oracle_sql() -> dict[str, str]:
         "run_counts": f"""WITH {_DIRTY}
 SELECT (SELECT count(*) FROM dirty) AS input_rows, (SELECT count(*) FROM cdr) AS clean_rows,
        (SELECT count(*) FROM parsed WHERE event_time IS NULL OR debit_amount IS NULL) AS rejected_rows""",
+        "run_counts_by_cause": _CAUSES,
         "paytype_label_join": _LABEL_JOIN,
         "paytype_label_join_large_map": _LABEL_JOIN,
         **_REPORTS,
@@ -430,13 +547,24 @@ SELECT (SELECT count(*) FROM dirty) AS input_rows, (SELECT count(*) FROM cdr) AS
         **{f"batch_job_{name}": sql for name, sql in _REPORTS.items()},
         "batch_job_counts": _BATCH_COUNTS,
         **{f"stream_{name}": sql for name, sql in _REPORTS.items()},
+        "stream_versions": _REPORTS["minmax_15min"],
         **{f"stream_all_{name}": sql for name, sql in _REPORTS.items()},
+        **{f"stream_all_update_{name}": sql for name, sql in _REPORTS.items()},
+        "stream_all_late_append_daily_revenue": _LATE_APPEND_DAILY_CELLS,
+        "stream_all_late_append_revenue_15min": _LATE_APPEND,
+        "stream_all_late_append_minmax_15min": _LATE_APPEND_MINMAX,
+        "stream_all_late_append_count_revenue_15min": _LATE_APPEND_COUNT,
+        **{f"stream_from_batch_{name}": sql for name, sql in _REPORTS.items()},
+        "stream_map_change": _REPORTS["count_revenue_15min"],
         "stream_named": _REPORTS["revenue_15min"],
         "stream_old_files": _REPORTS["revenue_15min"],
         "stream_late_complete": _REPORTS["revenue_15min"],
         "stream_late_append": _LATE_APPEND,
         "stream_late_append_minmax": _LATE_APPEND_MINMAX,
         "stream_late_append_count_revenue": _LATE_APPEND_COUNT,
+        "stream_late_append_daily": _LATE_APPEND_DAILY,
+        "stream_late_append_folded": _LATE_APPEND,
+        "stream_late_update_folded": _LATE_UPDATE,
         "stream_late_update": _LATE_UPDATE,
         "stream_append_beside_batch": _LATE_APPEND,
         **(llm.oracle_sql() if llm else {}),

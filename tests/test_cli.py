@@ -79,6 +79,29 @@ def test_one_command_streams_all_reports(spark, files):
     assert sorted(p.name for p in (files / "out").iterdir()) == sorted(tb.REPORTS)
 
 
+def test_one_command_streams_a_list_of_reports_with_versions_and_folds_their_parts(spark, files, capsys):
+    paths = ["--input", f"{files}/in", "--output", f"{files}/out", "--checkpoints", f"{files}/state"]
+    names = ["daily_revenue", "count_revenue_15min"]
+    common = ["--available-now", "--map", f"{files}/map.csv", "--max-files", "1", *paths]
+    cli.main(["stream", *names, "--preview", "3", "--versions", "1", *common], spark)
+    assert "daily_revenue" in capsys.readouterr().out
+    assert sorted(p.name for p in (files / "out").iterdir()) == sorted(names)
+    assert float(tb.read_report(spark, names[0], f"{files}/out/{names[0]}").first().daily_revenue) == 3
+    for mode in ("update", "append"):
+        (files / "state").rename(files / f"state-before-{mode}")
+        cli.main(["stream", *names, "--mode", mode, *common], spark)
+        cli.main(["compact", *names, "--mode", mode, "--output", f"{files}/out"], spark)
+        assert [list(json.loads(line)) for line in capsys.readouterr().out.splitlines()] == [[name] for name in names]
+    assert tb.read_report(spark, names[1], f"{files}/out/{names[1]}", "update").count() == 2
+
+
+def test_all_reports_stream_in_every_mode(spark, files):
+    for mode in ("complete", "update", "append"):
+        paths = ["--input", f"{files}/in", "--output", f"{files}/out-{mode}", "--checkpoints", f"{files}/state-{mode}"]
+        cli.main(["stream", "all", "--available-now", "--mode", mode, "--map", f"{files}/map.csv", *paths], spark)
+    assert tb.read_report(spark, "minmax_15min", f"{files}/out-update/minmax_15min", "update").count() == 2
+
+
 def test_missing_settings_are_named(spark, files, capsys):
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["batch", "--input", "x", "--map", "y"])

@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 import __spark_entry__ as driver
 import tollbook as tb
 from conftest import SMALL
-from fixtures import DIRTY, report_lines, write_cdr
+from fixtures import DIRTY, report_lines, session_zone, write_cdr
 from tollbook import streaming
 from tollbook.streaming import INTAKE_METRICS, report_sink
 
@@ -174,24 +174,120 @@ def test_one_stream_keeps_all_reports_with_one_scan(spark, paytypes, tmp_path, z
         assert report_lines(tmp_path / "all" / name) == report_lines(tmp_path / f"one-{name}")
 
 
-def test_one_stream_appends_windowed_reports_only(spark, paytypes, tmp_path):
+def test_one_stream_appends_several_reports(spark, paytypes, tmp_path):
+    """A day is written when a window of a later one closes."""
     late_files(tmp_path)
-    names = ["revenue_15min", "count_revenue_15min"]
+    write_cdr(tmp_path / "in", "5.csv", [("2020/08/31 00:20:00", "0", 50)], order=5)
+    write_cdr(tmp_path / "in", "6.csv", [("2020/08/31 02:00:00", "0", 60)], order=6)
+    write_cdr(tmp_path / "in", "7.csv", [("2020/08/31 02:01:00", "0", 70)], order=7)
+    names = ["revenue_15min", "count_revenue_15min", "daily_revenue"]
     paths = (str(tmp_path / "in"), str(tmp_path / "all"), str(tmp_path / "state"))
     now = {"trigger": {"availableNow": True}, "max_files": 1}
     tb.stream_reports(spark, names, *paths, paytypes, output_mode="append", **now).awaitTermination()
-    for name in names:
+    for name in names[:2]:
         revenue = tb.read_report(spark, name, str(tmp_path / "all" / name), "append").select("revenue").collect()
-        assert sorted(str(r.revenue) for r in revenue) == ["1.000000", "7.000000"]
-    with pytest.raises(ValueError, match="append"):
-        tb.stream_reports(spark, list(tb.REPORTS), *paths, paytypes, output_mode="append")
-    with pytest.raises(ValueError, match="update"):
-        tb.stream_reports(spark, names, *paths, paytypes, output_mode="update")
+        assert sorted(str(r.revenue) for r in revenue) == ["1.000000", "5.000000", "7.000000", "9.000000"]
+    daily = tb.read_report(spark, "daily_revenue", str(tmp_path / "all/daily_revenue"), "append").collect()
+    assert [(r.date, str(r.daily_revenue)) for r in daily] == [("2020-08-30", "17.000000")]
+
+
+DAYS = [
+    [("2020/08/30 10:00:00", "0", 10), ("2020/08/30 23:59:59", "1", 20)],
+    [("2020/08/31 00:05:00", "0", 30)],  # the watermark is 23:55
+    [("2020/08/30 23:58:00", "0", 40)],  # late, but its day is open
+    [("2020/08/31 00:30:00", "1", 50)],  # the watermark passes midnight
+    [("2020/08/31 00:31:00", "1", 0)],  # late rows are dropped one micro-batch after the watermark moves
+    [("2020/08/30 22:00:00", "0", 9990)],  # its day is closed
+    [("2020/09/02 12:00:00", "0", 60)],
+    [("2020/09/02 12:01:00", "0", 70)],
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kathmandu"])
+def test_daily_report_appends_days_once_they_are_over(spark, tmp_path, zone):
+    for i, rows in enumerate(DAYS):
+        write_cdr(tmp_path / "in", f"{i}.csv", rows, order=i)
+    query = drain(spark, "daily_revenue", tmp_path, max_files=1, output_mode="append", zone=zone)
+    rows = tb.read_report(spark, "daily_revenue", str(tmp_path / "out"), "append").collect()
+    assert sorted((r.date, str(r.daily_revenue)) for r in rows) == [("2020-08-30", "7.000000"), ("2020-08-31", "8.000000")]
+    assert dropped(query) == 1
+
+
+@pytest.mark.parametrize("day", ["2020/11/01", "2020/03/08"], ids=["25 hours", "23 hours"])
+def test_days_of_other_lengths_append_whole(spark, tmp_path, day):
+    """The clock goes back from 02:00 to 01:00, or forward from 02:00 to 03:00."""
+    hours = [f"{h:02d}" for h in range(24)]
+    for i, hour in enumerate(hours):
+        write_cdr(tmp_path / "in", f"{i:02d}.csv", [(f"{day} {hour}:59:00", "0", 10)], order=i)
+    write_cdr(tmp_path / "in", "next.csv", [("2020/12/01 00:30:00", "0", 10)], order=30)
+    write_cdr(tmp_path / "in", "then.csv", [("2020/12/01 00:31:00", "0", 10)], order=31)
+    drain(spark, "daily_revenue", tmp_path, max_files=8, output_mode="append", zone="America/New_York")
+    rows = tb.read_report(spark, "daily_revenue", str(tmp_path / "out"), "append").collect()
+    batch = tb.batch_report("daily_revenue", tb.read_cdr(spark, str(tmp_path / "in"))).collect()
+    assert [(r.date, r.daily_revenue) for r in rows] == [(r.date, r.daily_revenue) for r in batch if "12-01" not in r.date]
+
+
+def test_daily_append_state_is_bounded_over_sixty_days(spark, tmp_path):
+    for i in range(60):
+        day = f"2020/{7 + i // 30:02d}/{1 + i % 30:02d}"
+        write_cdr(tmp_path / "in", f"{i:02d}.csv", [(f"{day} {h:02d}:00:00", str(h % 2), 10) for h in range(24)], order=i)
+    query = drain(spark, "daily_revenue", tmp_path, max_files=6, output_mode="append")
+    kept = [op.numRowsTotal for p in query.recentProgress for op in p.stateOperators]
+    assert len(kept) >= 10 and max(kept) <= 8
+    rows = tb.read_report(spark, "daily_revenue", str(tmp_path / "out"), "append")
+    assert rows.count() == rows.select("date").distinct().count() == 59
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Africa/Monrovia"])
+def test_one_stream_updates_all_reports(spark, paytypes, tmp_path, zone):
+    """Over many micro-batches, each of which changes some cells of a day and of a label's window."""
+    used = driver.cdr_rows(spark, SMALL).select("RECORD_DATE", "PAYTYPE_515", "DEBIT_AMOUNT_42")
+    rows = sorted(tuple(row) for row in used.collect()) + [row for row, _ in DIRTY if row[0][:4] != "2020"]
+    # In Monrovia the second of these days begins within a window.
+    rows += [(f"1971/12/31 23:{m}:59", str(m % 4), 10 * m) for m in range(10, 60)] + [("1972/01/01 00:00:20", "7", 20)]
+    odd = [("2024/01/05 00:00:00", "0", 30), ("2024/01/05 00:00:01", "1", 30)]
+    for i in range(3):
+        write_cdr(tmp_path / "in", f"{i}.csv", rows[i::3] + odd, order=i)
+    labels = spark.createDataFrame([(0, "Any"), (1, "Any"), (2, "Other")], "paytype int, paytype_label string")
+    paths = (str(tmp_path / "in"), str(tmp_path / "all"), str(tmp_path / "state"))
+    now = {"trigger": {"availableNow": True}, "max_files": 1, "zone": zone, "watermark": "30000 days"}
+    query = tb.stream_reports(spark, list(tb.REPORTS), *paths, labels, output_mode="update", **now)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 3
+    with session_zone(spark, zone):
+        for name in tb.REPORTS:
+            got = tb.read_report(spark, name, str(tmp_path / "all" / name), "update")
+            batch = str(tmp_path / f"batch-{name}")
+            tb.write_report(tb.batch_report(name, tb.read_cdr(spark, str(tmp_path / "in")), labels), batch, tb.REPORTS[name].sort_by)
+            assert sorted(map(str, got.collect())) == sorted(map(str, tb.read_report(spark, name, batch).collect()))
+
 
+def test_updates_of_a_repeated_micro_batch_are_the_same(spark, paytypes, tmp_path, monkeypatch):
+    """The last report fails after the others are written; the restart repeats the micro-batch."""
+    late_files(tmp_path)
+    names = [*tb.REPORTS]
+    paths = (str(tmp_path / "in"), str(tmp_path / "all"), str(tmp_path / "state"))
+    now = {"trigger": {"availableNow": True}, "max_files": 1, "watermark": "2 days"}
+    whole = streaming.report_stream.write_report
+    calls = []
+
+    def broken(rows, path, *args, **kwargs):
+        calls.append(path)
+        if "count_revenue" in path and len([c for c in calls if "count_revenue" in c]) == 3:
+            raise RuntimeError("lost")
+        return whole(rows, path, *args, **kwargs)
 
-def test_daily_report_cannot_append(spark, tmp_path):
-    with pytest.raises(ValueError, match="append"):
-        drain(spark, "daily_revenue", tmp_path, output_mode="append")
+    with monkeypatch.context() as patch:
+        patch.setattr(streaming.report_stream, "write_report", broken)
+        with pytest.raises(StreamingQueryException, match="lost"):
+            tb.stream_reports(spark, names, *paths, paytypes, output_mode="update", **now).awaitTermination()
+    tb.stream_reports(spark, names, *paths, paytypes, output_mode="update", **now).awaitTermination()
+    for name in names:
+        got = tb.read_report(spark, name, str(tmp_path / "all" / name), "update")
+        want = tb.batch_report(name, tb.read_cdr(spark, str(tmp_path / "in")), paytypes)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    states = [p.name for p in (tmp_path / "state/cells").glob("on=*/batch=*")]
+    assert 1 <= len(states) <= 2  # a date keeps the state before the last micro-batch and that after it
 
 
 def test_daily_report_in_update_mode_counts_late_rows(spark, tmp_path):
@@ -290,7 +386,7 @@ def test_stream_parses_once_and_reads_used_columns(spark, paytypes, tmp_path):
     plan = query._jsq.explainInternal(False)
     assert plan.count("gettimestamp(") == 1
     assert "ReadSchema: struct<RECORD_DATE:string,PAYTYPE_515:string,DEBIT_AMOUNT_42:double>" in plan
-    assert plan.count("BroadcastHashJoin") == 1
+    assert "Join" not in plan  # labels join the cells of a micro-batch, not records
 
 
 def test_stream_with_a_map_too_large_to_broadcast(spark, paytypes, tmp_path, monkeypatch):

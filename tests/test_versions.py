@@ -1,0 +1,201 @@
+"""Reports that are replaced while they are read, writers that die, folds of parts."""
+
+from __future__ import annotations
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+import tollbook as tb
+from fixtures import report_lines, write_cdr
+from test_streaming import drain, late_files, times, windows
+from tollbook.sinks import report_files, versions
+from tollbook.workspace import touch
+
+NAME, SORT_BY = "revenue_15min", ("RECORD_DATE", "paytype")
+
+
+def rows_of(spark, *amounts):
+    values = ", ".join(f"(TIMESTAMP'2020-08-30 00:00:00', {i}, CAST({a} AS DECIMAL(28,6)))" for i, a in enumerate(amounts))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(RECORD_DATE, paytype, revenue)")
+
+
+def amounts(spark, path):
+    return sorted(float(r.revenue) for r in tb.read_report(spark, NAME, str(path)).collect())
+
+
+def test_reader_beside_a_stream_never_sees_a_missing_or_partial_report(spark, tmp_path):
+    """Every record is 1 and every file brings one for each of 40 windows: a whole report has equal windows."""
+    for i in range(7):
+        rows = [(f"2020/08/30 {m // 60:02d}:{m % 60:02d}:00", "0", 10) for m in range(0, 600, 15)]
+        write_cdr(tmp_path / "in", f"{i:02d}.csv", rows, order=i)
+    seen, failures, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                found = amounts(spark, tmp_path / "out")
+            except Exception as error:  # noqa: BLE001
+                if seen:
+                    failures.append(error)
+                continue
+            if found or seen:  # before the first version there is no report
+                seen.append(found)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        drain(spark, NAME, tmp_path, max_files=1, keep=2)
+    finally:
+        done.set()
+        reader.join()
+    assert not failures and len(seen) > 3
+    assert all(len(found) == 40 and len(set(found)) == 1 for found in seen)
+    assert [found[0] for found in seen] == sorted(found[0] for found in seen)
+    assert amounts(spark, tmp_path / "out") == [7.0] * 40
+    assert len(list((tmp_path / "out/_versions").iterdir())) == 3  # two before the newest stay
+
+
+def test_reader_that_has_begun_reads_its_version_to_the_end(spark, tmp_path):
+    tb.write_report(rows_of(spark, 1, 2), str(tmp_path / "r"), SORT_BY, keep=1)
+    begun = tb.read_report(spark, NAME, str(tmp_path / "r"))
+    tb.write_report(rows_of(spark, 3), str(tmp_path / "r"), SORT_BY, keep=1)
+    assert sorted(float(r.revenue) for r in begun.collect()) == [1, 2]
+    assert amounts(spark, tmp_path / "r") == [3]
+
+
+@pytest.mark.parametrize("keep", [None, 1])
+@pytest.mark.parametrize("dies", ["in the tasks", "before the swap"])
+def test_a_writer_that_dies_leaves_the_report_before(spark, tmp_path, monkeypatch, keep, dies):
+    path = tmp_path / "out" / "r"
+    tb.write_report(rows_of(spark, 1, 2), str(path), SORT_BY, keep=keep)
+    rows = rows_of(spark, 3, 4)
+    if dies == "in the tasks":
+        rows = rows.withColumn("revenue", F.when(F.col("paytype") == 1, F.raise_error(F.lit("lost"))).otherwise(F.col("revenue")))
+    else:
+        for name in ("replace", "publish"):
+            monkeypatch.setattr(report_files, name, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        tb.write_report(rows, str(path), SORT_BY, keep=keep)
+    assert amounts(spark, path) == [1, 2]
+    monkeypatch.undo()
+    tb.write_report(rows_of(spark, 5), str(path), SORT_BY, keep=keep)
+    assert amounts(spark, path) == [5]
+    if dies == "in the tasks":
+        assert not [p for p in path.parent.iterdir() if p.name.startswith("_")]
+
+
+def test_plain_reports_stay_plain_folders(spark, tmp_path):
+    for amount in (1, 2):
+        tb.write_report(rows_of(spark, amount), str(tmp_path / "out/r"), SORT_BY)
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["r"]
+    assert len(list((tmp_path / "out/r").glob("part-*.csv"))) == 1
+
+
+def test_a_report_can_change_between_both_forms(spark, tmp_path):
+    for amount, keep in ((1, None), (2, 1), (3, 1), (4, None), (5, 1)):
+        tb.write_report(rows_of(spark, amount), str(tmp_path / "r"), SORT_BY, keep=keep)
+        assert amounts(spark, tmp_path / "r") == [amount]
+
+
+def test_unfinished_versions_do_not_count_and_go_in_the_end(spark, tmp_path):
+    path = tmp_path / "r"
+    tb.write_report(rows_of(spark, 1), str(path), SORT_BY, keep=1)
+    left = path / "_versions" / versions.new_name(spark, f"{path}/_versions")
+    rows_of(spark, 99).write.csv(str(left))
+    assert amounts(spark, path) == [1]
+    for n in range(versions.ABANDONED + 3):
+        assert left.exists() or n > versions.ABANDONED
+        tb.write_report(rows_of(spark, n), str(path), SORT_BY, keep=1)
+    assert not left.exists()
+
+
+def test_empty_report_replaces_only_where_it_may(spark, tmp_path):
+    for keep in (None, 1):
+        path = str(tmp_path / f"r{keep}")
+        tb.write_report(rows_of(spark, 1), path, SORT_BY, keep=keep)
+        assert tb.write_report(rows_of(spark, 1).limit(0), path, SORT_BY, keep=keep, empty=False) == 0
+        assert amounts(spark, path) == [1]
+        assert tb.write_report(rows_of(spark, 1).limit(0), path, SORT_BY, keep=keep) == 0
+        assert amounts(spark, path) == []
+
+
+def test_counts_of_a_report_whose_last_stage_is_repeated(spark, tmp_path, monkeypatch):
+    """A task of the writing stage fails once after it has counted rows."""
+    from pyspark import TaskContext
+
+    def fail_once(batches):
+        yield from batches
+        if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() == 1:
+            raise RuntimeError("lost")
+
+    sorting = type(rows_of(spark, 1)).sortWithinPartitions
+    rows = spark.range(1000).selectExpr("timestamp_seconds(id) AS RECORD_DATE", "0 AS paytype", "CAST(1 AS DECIMAL(28,6)) AS revenue")
+    monkeypatch.setattr(type(rows), "sortWithinPartitions", lambda self, *by: sorting(self, *by).mapInPandas(fail_once, self.schema))
+    assert tb.write_report(rows, str(tmp_path / "r"), SORT_BY, files=3) == 1000
+
+
+def values(spark, tmp_path, mode):
+    read = tb.read_report(spark, NAME, str(tmp_path / "out"), mode)
+    return sorted(map(str, read.collect()))
+
+
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_folds_read_the_same_before_and_after_beside_a_query(spark, tmp_path, mode):
+    late_files(tmp_path)
+    drain(spark, NAME, tmp_path, max_files=1, output_mode=mode)
+    for round_ in range(3):
+        before = values(spark, tmp_path, mode)
+        begun = tb.read_report(spark, NAME, str(tmp_path / "out"), mode)
+        folded = tb.compact_report(spark, NAME, str(tmp_path / "out"), mode)
+        assert tb.compact_report(spark, NAME, str(tmp_path / "out"), mode) == folded
+        assert values(spark, tmp_path, mode) == before == sorted(map(str, begun.collect()))
+        later = f"{19 + round_}:00"
+        write_cdr(tmp_path / "in", f"n{round_}.csv", times((later, 5), (f"{19 + round_}:20", 6)), order=10 + round_)
+        drain(spark, NAME, tmp_path, max_files=1, output_mode=mode)
+    folder = next((tmp_path / f"out_{mode}").iterdir())
+    parts = sorted(int(p.name[9:]) for p in folder.glob("batch_id=*"))
+    held = next(iter(folded.values()))
+    assert len(list((folder / "_folds").iterdir())) <= 2 and parts[0] > 0 and parts[-1] > held
+    drain(spark, NAME, tmp_path, out="control", max_files=1, output_mode=mode)
+    control = tb.read_report(spark, NAME, str(tmp_path / "control"), mode)
+    assert values(spark, tmp_path, mode) == sorted(map(str, control.collect()))
+
+
+def test_a_folding_that_dies_is_done_again(spark, tmp_path, monkeypatch):
+    from tollbook.sinks import parts
+
+    late_files(tmp_path)
+    drain(spark, NAME, tmp_path, max_files=1, output_mode="update")
+    before = values(spark, tmp_path, "update")
+    with monkeypatch.context() as patch:
+        patch.setattr(parts, "publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            tb.compact_report(spark, NAME, str(tmp_path / "out"), "update")
+    assert values(spark, tmp_path, "update") == before
+    assert tb.compact_report(spark, NAME, str(tmp_path / "out"), "update")
+    assert values(spark, tmp_path, "update") == before
+
+
+def test_committed_parts_are_folded_to_the_last(spark, tmp_path):
+    late_files(tmp_path)
+    drain(spark, NAME, tmp_path, max_files=1, output_mode="update")
+    folder = next((tmp_path / "out_update").iterdir())
+    last = max(int(p.name[9:]) for p in folder.glob("batch_id=*"))
+    without = tb.compact_report(spark, NAME, str(tmp_path / "out"), "update")
+    assert max(without.values()) < last
+    whole = tb.compact_report(spark, NAME, str(tmp_path / "out"), "update", checkpoint=str(tmp_path / "out-state"))
+    assert max(whole.values()) == last
+
+
+def test_nothing_to_fold(spark, tmp_path):
+    assert tb.compact_report(spark, NAME, str(tmp_path / "out"), "append") == {}
+    assert tb.read_report(spark, NAME, str(tmp_path / "out"), "append").collect() == []
+
+
+def test_plain_lines_of_a_version(spark, tmp_path):
+    tb.write_report(rows_of(spark, 1, 2), str(tmp_path / "r"), SORT_BY, keep=0)
+    assert report_lines(tmp_path / "r")[1:] == ["2020-08-30T00:00:00.000Z,0,1.000000", "2020-08-30T00:00:00.000Z,1,2.000000"]
+    touch(spark, str(tmp_path / "r/_versions/000000000009-x"))
+    assert windows(tmp_path / "r") == {"00:00": 2.0} and amounts(spark, tmp_path / "r") == [1, 2]

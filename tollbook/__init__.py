@@ -10,11 +10,12 @@ from .operators import (
     parse_cdr,
     revenue_15min,
     run_counts,
+    run_counts_by_cause,
     usable_cells,
     window_cells,
 )
-from .plans import batch_report, report_from_cells, run_batch
-from .sinks import preview, read_report, write_report
+from .plans import batch_report, report_from_cells, run_batch, save_cells
+from .sinks import compact_report, preview, read_report, write_report
 from .sources import CDR_SCHEMA, read_cdr, read_cdr_stream, read_paytype_map, s3a_conf
 from .streaming import report_sink, stream_report, stream_reports, streaming_report
 
@@ -23,6 +24,7 @@ __all__ = [
     "REPORTS",
     "batch_report",
     "clean_cdr",
+    "compact_report",
     "count_revenue_15min",
     "daily_revenue",
     "label_paytype",
@@ -38,7 +40,9 @@ __all__ = [
     "revenue_15min",
     "run_batch",
     "run_counts",
+    "run_counts_by_cause",
     "s3a_conf",
+    "save_cells",
     "stream_report",
     "stream_reports",
     "streaming_report",

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from .operators.reports import REPORTS
 from .plans.batch import run_batch
-from .sources.files import ANY_AGE, read_paytype_map
+from .sinks import compact_report
 from .sources.object_store import s3a_conf
 from .streaming.report_stream import stream_report, stream_reports
 
@@ -51,8 +51,8 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--files", type=int, default=1, help="files of each report")
     batch.add_argument("--scratch", help="shared directory for the run's own data; by default below the output")
 
-    stream = jobs.add_parser("stream", help="one report over arriving files, or all, until stopped")
-    stream.add_argument("report", choices=[*REPORTS, ALL])
+    stream = jobs.add_parser("stream", help="reports over arriving files, until stopped; several share one scan")
+    stream.add_argument("report", nargs="+", choices=[*REPORTS, ALL])
     _option(stream, "--input", INPUT, "directory in which files arrive")
     _option(stream, "--output", OUTPUT, "directory of the report directories")
     _option(stream, "--checkpoints", CHECKPOINTS, "directory of the checkpoint directories")
@@ -61,12 +61,20 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--map", default=os.environ.get(PAYTYPE_MAP[0]), help=f"payment-type map file [{PAYTYPE_MAP[0]}]")
     stream.add_argument("--mode", choices=["complete", "append", "update"], default="complete")
     stream.add_argument("--max-files", type=int, default=5, help="most files of a micro-batch")
-    stream.add_argument("--max-file-age", default=ANY_AGE, help="leave out files older than the newest by this much")
+    stream.add_argument("--max-file-age", help="leave out files older than the newest by this much")
+    stream.add_argument("--archive", help="directory to which files move once they are read")
     stream.add_argument("--max-bytes", help="most bytes of a micro-batch, such as 200g; replaces --max-files")
     stream.add_argument("--available-now", action="store_true", help="stop after the files that are there now")
     stream.add_argument("--preview", type=int, default=0, metavar="N", help="print N rows of each result")
 
+    compact = jobs.add_parser("compact", help="fold the finished parts of append or update streams")
+    compact.add_argument("report", nargs="+", choices=[*REPORTS, ALL])
+    _option(compact, "--output", OUTPUT, "directory of the report directories")
+    compact.add_argument("--mode", choices=["append", "update"], required=True)
+    compact.add_argument("--files", type=int, default=1, help="files of each fold")
+
     for job in (batch, stream):
+        job.add_argument("--versions", type=int, metavar="N", help="replace reports by versions and keep N earlier ones")
         job.add_argument("--zone", default="UTC", help="time zone of records and days")
     return top
 
@@ -95,35 +103,42 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     """Runs the job of a parsed command line."""
     output = args.output.rstrip("/")
     if args.job == "batch":
-        counts = run_batch(spark, args.input, args.map, output, zone=args.zone, files=args.files, scratch=args.scratch)
-        print(json.dumps(counts))
+        options = {"zone": args.zone, "files": args.files, "scratch": args.scratch, "keep": args.versions}
+        print(json.dumps(run_batch(spark, args.input, args.map, output, **options)))
+        return
+    names = list(REPORTS) if ALL in args.report else list(dict.fromkeys(args.report))
+    if args.job == "compact":
+        for name in names:
+            print(json.dumps({name: compact_report(spark, name, f"{output}/{name}", args.mode, args.files)}))
         return
-    names = list(REPORTS) if args.report == ALL else [args.report]
-    labelled = any(REPORTS[name].labelled for name in names)
+    labelled = [name for name in names if REPORTS[name].labelled]
     if labelled and not args.map:
-        raise ValueError(f"report {args.report} needs --map or {PAYTYPE_MAP[0]}")
+        raise ValueError(f"report {labelled[0]} needs --map or {PAYTYPE_MAP[0]}")
+    label = ALL if ALL in args.report else "-".join(names)
     options = {
-        "paytype_map": read_paytype_map(spark, args.map, check=False) if labelled else None,
+        "paytype_map": args.map if labelled else None,
         "output_mode": args.mode,
         "watermark": args.watermark,
         "trigger": {"availableNow": True} if args.available_now else {"processingTime": args.trigger},
         "max_files": None if args.max_bytes else args.max_files,
         "source_options": {"maxBytesPerTrigger": args.max_bytes} if args.max_bytes else None,
         "max_file_age": args.max_file_age,
+        "archive": args.archive,
         "zone": args.zone,
-        "query_name": f"{args.report}_stream",
+        "query_name": f"{label}_stream",
+        "preview_rows": args.preview,
+        "keep": args.versions,
     }
-    checkpoint = f"{args.checkpoints.rstrip('/')}/{args.report}"
-    if args.report == ALL:
+    checkpoint = f"{args.checkpoints.rstrip('/')}/{label}"
+    if len(names) > 1:
         query = stream_reports(spark, names, args.input, output, checkpoint, **options)
     else:
-        out_path = f"{output}/{args.report}"
-        query = stream_report(spark, args.report, args.input, out_path, checkpoint, preview_rows=args.preview, **options)
+        query = stream_report(spark, names[0], args.input, f"{output}/{names[0]}", checkpoint, **options)
     try:
         query.awaitTermination()
     except KeyboardInterrupt:
         # The checkpoint has every finished micro-batch; the next start repeats the one that this cuts off.
-        _log.info("stopping %s", args.report)
+        _log.info("stopping %s", label)
         query.stop()
 
 

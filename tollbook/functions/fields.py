@@ -18,8 +18,17 @@ DEBIT_DIVISOR = 10
 AMOUNT_TYPE = "decimal(18,6)"
 TOTAL_TYPE = "decimal(28,6)"
 
+#: What can be wrong with a record. The last alone does not make it unusable. Text in place of a charge reads as none.
+CAUSES = {
+    1: "no time",
+    2: "malformed time",
+    4: "no charge",
+    8: "charge out of range",
+    16: "malformed payment type",
+}
+
 WINDOW_LENGTH = f"{WINDOW_MINUTES} minutes"
-_WINDOW_MICROS = WINDOW_MINUTES * 60 * 1_000_000
+WINDOW_MICROS = WINDOW_MINUTES * 60 * 1_000_000
 
 # A number as a lenient integer cast takes it: padding, sign, digits, fraction.
 _PADDING = r"[\x00-\x20\x7f]*"
@@ -50,6 +59,22 @@ def debit(value: Column) -> Column:
     return value.try_cast(DEBIT_TYPE)
 
 
+def cause(record_date: Column, time: Column, paytype_text: Column, paytype: Column, value: Column, recorded: Column) -> Column:
+    """What is wrong with a record, as a sum of ``CAUSES``: its raw texts and charge beside what they were parsed to."""
+
+    def empty(text: Column) -> Column:
+        return text.isNull() | (F.trim(text) == "")
+
+    found = {
+        "no time": empty(record_date),
+        "malformed time": ~empty(record_date) & time.isNull(),
+        "no charge": value.isNull(),
+        "charge out of range": value.isNotNull() & recorded.isNull(),
+        "malformed payment type": ~empty(paytype_text) & paytype.isNull(),
+    }
+    return sum((F.when(found[name], bit).otherwise(0) for bit, name in CAUSES.items()), F.lit(0))
+
+
 def amount(recorded: Column) -> Column:
     """Reported amount of a recorded charge (or of a minimum or maximum of them)."""
     return (recorded / DEBIT_DIVISOR).cast(AMOUNT_TYPE)
@@ -82,7 +107,7 @@ def bucket_start(time: Column, zone: str) -> Column:
     inside a window; the later part then starts at the day.
     """
     micros = F.unix_micros(time)
-    window_start = F.timestamp_micros(micros - F.pmod(micros, F.lit(_WINDOW_MICROS)))
+    window_start = F.timestamp_micros(micros - F.pmod(micros, F.lit(WINDOW_MICROS)))
     if zone in {"UTC", "GMT", "Z", "Etc/UTC", "Etc/GMT"}:
         return window_start
     return F.greatest(window_start, F.date_trunc("day", time))

@@ -7,16 +7,22 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fields import amount, debit, event_time, paytype_code
+from ..functions.fields import amount, cause, debit, event_time, paytype_code
 
 
 def parse_cdr(cdr: DataFrame) -> DataFrame:
-    """``event_time``, ``paytype`` and ``debit`` (as recorded) of every record, null where malformed."""
-    return cdr.select(
+    """``event_time``, ``paytype`` and ``debit`` (as recorded) of every record, null where malformed; ``cause`` says why."""
+    parsed = cdr.select(
+        "RECORD_DATE",
+        "PAYTYPE_515",
+        "DEBIT_AMOUNT_42",
         event_time(F.col("RECORD_DATE")).alias("event_time"),
         paytype_code(F.col("PAYTYPE_515")).alias("paytype"),
         debit(F.col("DEBIT_AMOUNT_42")).alias("debit"),
     )
+    pairs = (("RECORD_DATE", "event_time"), ("PAYTYPE_515", "paytype"), ("DEBIT_AMOUNT_42", "debit"))
+    why = cause(*[F.col(name) for pair in pairs for name in pair])
+    return parsed.select("event_time", "paytype", "debit", why.alias("cause"))
 
 
 def is_usable() -> Column:
@@ -42,4 +48,4 @@ def clean_cdr(cdr: DataFrame, metrics: str | None = None) -> DataFrame:
         F.count("*").alias("input_rows"),
         F.count_if(is_usable()).alias("clean_rows"),
     )
-    return observed.filter(is_usable()).withColumn("debit_amount", amount(F.col("debit")))
+    return observed.filter(is_usable()).drop("cause").withColumn("debit_amount", amount(F.col("debit")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fields import WINDOW_LENGTH, bucket_start, day_key
+from ..functions.fields import CAUSES, WINDOW_LENGTH, WINDOW_MICROS, bucket_start, day_key
 from .clean import is_usable
 
 
@@ -39,7 +39,7 @@ def window_cells(parsed: DataFrame) -> DataFrame:
 
     One scan and one shuffle of partial sums serve all reports and the run
     counts. Unusable records are not filtered out but fall into cells without an
-    ``event_time``, which holds their number too.
+    ``event_time``, by ``cause``, which hold their number too.
 
     ``event_time`` is returned as an aggregate of the grouping key: null checks on
     it then stay above the shuffle and do not pull a second parse into the scan.
@@ -49,9 +49,10 @@ def window_cells(parsed: DataFrame) -> DataFrame:
         F.when(is_usable(), bucket_start(F.col("event_time"), zone)).alias("bucket"),
         "paytype",
         F.when(F.col("event_time").isNotNull(), F.col("debit")).alias("debit"),
+        F.when(~is_usable(), F.col("cause")).alias("cause"),
     )
     return (
-        keyed.groupBy("bucket", "paytype")
+        keyed.groupBy("bucket", "paytype", "cause")
         .agg(
             F.max("bucket").alias("event_time"),
             F.count("*").alias("record_count"),
@@ -67,7 +68,8 @@ def stream_cells(clean: DataFrame) -> DataFrame:
     """Window cells of a stream of cleaned records with a watermark on ``event_time``.
 
     As ``window_cells``, but keyed by the window itself, which lets the watermark
-    close it, and by the local day, so that a cell lies within one.
+    close it, and by the local day, so that a cell lies within one. Both stay as
+    columns, ``bucket`` (the window's start) and ``day``.
     """
     return (
         as_measures(clean)
@@ -79,10 +81,27 @@ def stream_cells(clean: DataFrame) -> DataFrame:
             F.min("debit_min").alias("debit_min"),
             F.max("debit_max").alias("debit_max"),
         )
-        .select(F.col("first_time").alias("event_time"), "paytype", "record_count", "debit_sum", "debit_min", "debit_max")
+        .select(
+            F.col("window.start").alias("bucket"),
+            "day",
+            F.col("first_time").alias("event_time"),
+            "paytype",
+            "record_count",
+            "debit_sum",
+            "debit_min",
+            "debit_max",
+        )
     )
 
 
+def cell_keys(cells: DataFrame) -> DataFrame:
+    """Usable window cells with the columns of ``stream_cells``."""
+    micros = F.unix_micros("event_time")
+    start = F.timestamp_micros(micros - F.pmod(micros, F.lit(WINDOW_MICROS)))
+    measures = ["event_time", "paytype", "record_count", "debit_sum", "debit_min", "debit_max"]
+    return usable_cells(cells).select(start.alias("bucket"), day_key(F.col("event_time")).alias("day"), *measures)
+
+
 def usable_cells(cells: DataFrame) -> DataFrame:
     """The cells of usable records."""
     return cells.filter(F.col("event_time").isNotNull())
@@ -95,3 +114,12 @@ def run_counts(cells: DataFrame) -> DataFrame:
     return cells.agg(everything.alias("input_rows"), usable.alias("clean_rows")).withColumn(
         "rejected_rows", F.col("input_rows") - F.col("clean_rows")
     )
+
+
+def run_counts_by_cause(cells: DataFrame) -> DataFrame:
+    """``cause``, its ``reasons`` in words and ``rejected_rows`` of a run's unusable records, from its cells."""
+    names = F.filter(
+        F.array(*[F.when(F.col("cause").bitwiseAND(bit) > 0, F.lit(name)) for bit, name in CAUSES.items()]), lambda n: n.isNotNull()
+    )
+    rejected = cells.filter(F.col("event_time").isNull()).groupBy("cause").agg(F.sum("record_count").alias("rejected_rows"))
+    return rejected.select("cause", F.array_join(names, ", ").alias("reasons"), "rejected_rows")

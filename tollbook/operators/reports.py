@@ -24,6 +24,21 @@ def daily_revenue(rows: DataFrame) -> DataFrame:
     return daily.select(day_text(F.col("day")).alias("date"), "daily_revenue")
 
 
+def daily_revenue_closing(rows: DataFrame, watermark: str, zone: str) -> DataFrame:
+    """``daily_revenue`` over a stream, in a form whose days the watermark closes.
+
+    The watermark runs on local clock time, on which every day is a window of 24 hours
+    whatever the zone's changes of clock. Where the clock goes back, the hour that
+    comes twice is late by up to an hour, but its day is still open.
+    """
+    local = as_measures(rows).withColumn("local_time", F.from_utc_timestamp("event_time", zone))
+    daily = local.withWatermark("local_time", watermark).groupBy(F.window("local_time", "1 day"))
+    days = F.floor(F.unix_seconds("window.start") / 86_400).cast("int")
+    return daily.agg(total(F.sum("debit_sum")).alias("daily_revenue")).select(
+        day_text(F.date_from_unix_date(days)).alias("date"), "daily_revenue"
+    )
+
+
 def _per_window(rows: DataFrame, key: Column, *measures: Column) -> DataFrame:
     windowed = as_measures(rows).groupBy(F.window("event_time", WINDOW_LENGTH), key).agg(*measures)
     return windowed.withColumn("RECORD_DATE", F.col("window.start")).drop("window")

@@ -34,6 +34,12 @@ def batch_report(name: str, cdr: DataFrame, paytype_map: DataFrame | None = None
     return report_from_cells(name, window_cells(parse_cdr(cdr)), paytype_map)
 
 
+def save_cells(spark: SparkSession, cdr_path: str | list[str], path: str, zone: str | None = "UTC") -> None:
+    """Writes the window cells of a directory of usage records to ``path``, for the ``history`` of a stream in that zone."""
+    cells = usable_cells(window_cells(parse_cdr(read_cdr(job_session(spark, zone), cdr_path))))
+    cells.write.mode("overwrite").parquet(path)
+
+
 def run_batch(
     spark: SparkSession,
     cdr_path: str | list[str],
@@ -42,6 +48,7 @@ def run_batch(
     zone: str | None = "UTC",
     files: int = 1,
     scratch: str | None = None,
+    keep: int | None = None,
 ) -> dict[str, int]:
     """Writes all four reports under ``out_base`` and returns the counts of the run.
 
@@ -54,9 +61,9 @@ def run_batch(
     Counts: ``input_rows``, ``clean_rows``, ``rejected_rows``, ``map_rows`` and
     the rows of each report under its name. ``zone`` decides day boundaries; the
     job has a session of its own for it, so jobs in other zones may run beside it.
-    ``files`` is the number of files of each report. Any failure is raised; a report
-    is replaced when its own write ends, so after a failed write some are of this
-    run and some of the one before.
+    ``files`` is the number of files of each report, ``keep`` makes them versions
+    (``write_report``). Any failure is raised; a report is replaced when its own write
+    ends, so after a failed write some are of this run and some of the one before.
     """
     session = job_session(spark, zone)
     out = out_base.rstrip("/")
@@ -73,7 +80,7 @@ def run_batch(
 
         def write(report: Report) -> int:
             result = report_from_cells(report.name, cells, paytype_map, map_bytes)
-            return write_report(result, f"{out}/{report.name}", report.sort_by, files)
+            return write_report(result, f"{out}/{report.name}", report.sort_by, files, keep)
 
         # The reports are small and independent jobs, so their fixed costs overlap.
         with ThreadPoolExecutor(len(REPORTS)) as pool:

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.reports import report_named
 from ..workspace import beside, child_names, delete, replace
-from .versions import current_version, new_version, publish
+from .versions import new_name, newest, publish
 
 # The columns of a written report.
 REPORT_SCHEMAS = {
@@ -20,6 +19,10 @@ REPORT_SCHEMAS = {
 }
 
 
+#: Shelf of a report's versions.
+SHELF = "_versions"
+
+
 def _write(report: DataFrame, path: str, sort_by: Sequence[str], files: int) -> int:
     written = Observation()
     (
@@ -52,8 +55,9 @@ def write_report(
     count is taken in the tasks that write, of which Spark counts each once, however
     often tasks before them are repeated.
     """
-    spark = report.sparkSession
-    staged = beside(path, "staged") if keep is None else new_version(spark, path)
+    spark, shelf = report.sparkSession, f"{path.rstrip('/')}/{SHELF}"
+    name = None if keep is None else new_name(spark, shelf)
+    staged = beside(path, "staged") if keep is None else f"{shelf}/{name}"
     try:
         rows = _write(report, staged, sort_by, files)
     except BaseException:
@@ -64,7 +68,10 @@ def write_report(
     elif keep is None:
         replace(spark, path, staged)
     else:
-        publish(spark, path, staged, keep)
+        publish(spark, shelf, name, keep)
+        for plain in child_names(spark, path):  # what a run without versions has left
+            if not plain.startswith((SHELF, ".")):
+                delete(spark, f"{path.rstrip('/')}/{plain}")
     return rows
 
 
@@ -85,20 +92,8 @@ def refuse_parts(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} holds parts that a stream has written ({parts[0]}, ...); they would be lost")
 
 
-def read_report(spark: SparkSession, name: str, path: str, mode: str = "complete") -> DataFrame:
-    """A written report with its types, as batch and complete mode leave it at ``path``: its newest version, if it has any.
-
-    ``append`` and ``update`` read the parts beside it: in append mode all rows, in
-    update mode the last value written of each group.
-    """
-    report, schema = report_named(name), REPORT_SCHEMAS[name]
-    if mode == "complete":
-        return spark.read.schema(schema).option("header", True).csv(current_version(spark, path) or path)
-    parts = spark.read.schema(f"{schema}, query_id string, batch_id bigint").option("header", True)
-    rows = parts.csv(parts_path(path, mode))
-    if mode == "append":
-        return rows.drop("query_id", "batch_id")
-    keys = list(report.sort_by)
-    values = [field for field in rows.columns if field not in {*keys, "query_id", "batch_id"}]
-    last = F.max_by(F.struct(*values), "batch_id").alias("last")
-    return rows.groupBy(*keys).agg(last).select(*keys, *[f"last.{value}" for value in values])
+def read_complete(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A written report with its types, as batch and complete mode leave it at ``path``: its newest version, if it has any."""
+    version = newest(spark, f"{path.rstrip('/')}/{SHELF}")
+    files = f"{path.rstrip('/')}/{SHELF}/{version}" if version else path
+    return spark.read.schema(REPORT_SCHEMAS[name]).option("header", True).csv(files)

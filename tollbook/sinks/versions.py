@@ -1,11 +1,10 @@
-"""Versions of a report: replacement that no reader can notice.
+"""Versions: folders that never change, of which the newest complete one counts.
 
-A version is a folder of its own below the report, ``_versions/<number>-<writer>``,
-and never changes. It counts once an empty file ``_complete`` stands in it, which its
-writer makes last, in one step on any file system. The newest complete version is the
-report. There is no moment without one, a writer that dies leaves the earlier one in
-force, and a reader that has begun goes on with the files of its version: that one
-stays until ``keep`` newer ones are complete.
+They stand on a *shelf*, a folder whose name readers of the folder above skip, as
+``<number>-<writer>``. A version counts once an empty file ``_complete`` stands in
+it, which its writer makes last, in one step on any file system. So there is no
+moment without a version, a writer that dies leaves the earlier one in force, and a
+reader that has begun goes on with files that stay until newer versions are complete.
 """
 
 from __future__ import annotations
@@ -16,54 +15,39 @@ from pyspark.sql import SparkSession
 
 from ..workspace import child_names, delete, exists, touch
 
-FOLDER = "_versions"
 COMPLETE = "_complete"
 #: A version without its mark may be one that is being written, unless this many newer ones are complete.
 ABANDONED = 10
 
 
-def _folder(path: str) -> str:
-    return f"{path.rstrip('/')}/{FOLDER}"
-
-
-def _number(name: str) -> int:
+def number_of(name: str) -> int:
+    """The number of a version's name."""
     return int(name.partition("-")[0])
 
 
-def _complete(spark: SparkSession, path: str) -> list[str]:
-    """Names of the complete versions, oldest first."""
-    return [name for name in child_names(spark, _folder(path)) if exists(spark, f"{_folder(path)}/{name}/{COMPLETE}")]
-
-
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the version in force, if the report has versions."""
-    # Newest first, so that a report with many versions is one look-up as well.
-    for name in reversed(child_names(spark, _folder(path))):
-        if exists(spark, f"{_folder(path)}/{name}/{COMPLETE}"):
-            return f"{_folder(path)}/{name}"
+def newest(spark: SparkSession, shelf: str) -> str | None:
+    """Name of the version in force, if there is any."""
+    # Newest first: of many versions one is looked at.
+    for name in reversed(child_names(spark, shelf)):
+        if exists(spark, f"{shelf}/{name}/{COMPLETE}"):
+            return name
     return None
 
 
-def new_version(spark: SparkSession, path: str) -> str:
-    """Folder for the next version, after all that are there, complete or not."""
-    names = child_names(spark, _folder(path))
-    number = max((_number(name) for name in names), default=0) + 1
-    return f"{_folder(path)}/{number:012d}-{uuid4().hex[:8]}"
-
+def new_name(spark: SparkSession, shelf: str, number: int | None = None) -> str:
+    """A free name, by default after all that are there, complete or not."""
+    if number is None:
+        number = max(map(number_of, child_names(spark, shelf)), default=0) + 1
+    return f"{number:012d}-{uuid4().hex[:8]}"
 
-def publish(spark: SparkSession, path: str, version: str, keep: int) -> None:
-    """Puts a written version in force and removes what is older than the ``keep`` before it.
 
-    Files of the plain form of the report, which has none of this, go too.
-    """
-    touch(spark, f"{version}/{COMPLETE}")
-    complete = _complete(spark, path)
-    for name in complete[: -1 - keep]:
-        delete(spark, f"{_folder(path)}/{name}")
-    newest = _number(complete[-1])
-    for name in child_names(spark, _folder(path)):
-        if name not in complete and _number(name) < newest - keep - ABANDONED:
-            delete(spark, f"{_folder(path)}/{name}")
-    for name in child_names(spark, path):
-        if not name.startswith(("_versions", ".")):
-            delete(spark, f"{path.rstrip('/')}/{name}")
+def publish(spark: SparkSession, shelf: str, name: str, keep: int) -> None:
+    """Puts a written version in force and removes those older than the ``keep`` before the newest."""
+    touch(spark, f"{shelf}/{name}/{COMPLETE}")
+    names = child_names(spark, shelf)
+    complete = [n for n in names if exists(spark, f"{shelf}/{n}/{COMPLETE}")]
+    for old in complete[: -1 - keep]:
+        delete(spark, f"{shelf}/{old}")
+    for left in set(names) - set(complete):
+        if number_of(left) < number_of(complete[-1]) - keep - ABANDONED:
+            delete(spark, f"{shelf}/{left}")

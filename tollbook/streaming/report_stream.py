@@ -11,11 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_cdr
 from ..operators.label import label_paytype
-from ..operators.measures import stream_cells
-from ..operators.reports import Report, report_named
+from ..operators.measures import cell_keys, stream_cells
+from ..operators.reports import Report, daily_revenue_closing, report_named
 from ..sinks.report_files import parts_path, preview, refuse_parts, write_report
-from ..sources.files import ANY_AGE, check_paytype_map, read_cdr_stream
-from ..workspace import child_names, job_session
+from ..sources.files import read_cdr_stream
+from ..sources.paytype_map import PaytypeMaps
+from ..workspace import ZONE, child_names, job_session
+from .cell_store import CellStore
 
 INTAKE_METRICS = "cdr_intake"
 
@@ -84,7 +86,7 @@ def _check_output(spark: SparkSession, path: str, output_mode: str, checkpoint:
 def streaming_report(
     name: str, cdr: DataFrame, paytype_map: DataFrame | None = None, watermark: str = "10 minutes"
 ) -> DataFrame:
-    """A report over a stream of raw usage records, not yet started."""
+    """A report over a stream of raw usage records, not yet started; a map is taken as it is now and joined to records."""
     report = report_named(name)
     rows = clean_cdr(cdr, metrics=INTAKE_METRICS).withWatermark("event_time", watermark)
     if report.labelled:
@@ -100,7 +102,7 @@ def stream_report(
     cdr_path: str,
     out_path: str,
     checkpoint: str,
-    paytype_map: DataFrame | None = None,
+    paytype_map: str | DataFrame | None = None,
     output_mode: str = "complete",
     watermark: str = "10 minutes",
     trigger: dict[str, object] | None = None,
@@ -109,50 +111,52 @@ def stream_report(
     query_name: str | None = None,
     preview_rows: int = 0,
     source_options: dict[str, object] | None = None,
-    max_file_age: str = ANY_AGE,
+    max_file_age: str | None = None,
+    archive: str | None = None,
+    keep: int | None = None,
+    history: str | None = None,
 ) -> StreamingQuery:
     """Starts a report over the CSV files arriving in ``cdr_path``.
 
     ``complete`` (the default) counts every record however late, rewrites the
-    whole report at ``out_path`` per trigger and keeps all windows in state. For the
-    windowed reports, ``append`` and ``update`` drop records whose window the
-    watermark has closed and forget that window; ``append`` writes a window once,
-    when it closes. Their parts go to folders beside ``out_path``, one per query
-    (``read_report`` reads them); a start that finds another query's parts there
-    raises ValueError. The daily report has no window: it cannot append, and
-    ``update`` counts late records as complete mode does. ``trigger`` holds the
-    arguments of ``DataStreamWriter.trigger``, 30 seconds of processing time by
-    default. The query has a session of its own, in ``zone``.
+    whole report at ``out_path`` per trigger and keeps all windows in state. ``append``
+    and ``update`` drop records whose window (in append mode of the daily report:
+    whose day) the watermark has closed and forget that window; ``append`` writes a
+    window once, when it closes. Their parts go to folders beside ``out_path``, one
+    per query (``read_report`` reads them); a start that finds another query's parts
+    there raises ValueError. In update mode a day never closes, so the daily report
+    counts late records as complete mode does. ``keep`` makes complete reports
+    versions (``write_report``), ``archive`` moves files that were read away
+    (``read_cdr_stream``). ``trigger`` holds the arguments of
+    ``DataStreamWriter.trigger``, 30 seconds of processing time by default. The query
+    has a session of its own, in ``zone``.
+
+    The labelled report keeps cells by code and joins labels to them per micro-batch.
+    ``paytype_map`` is the map's path or a frame; a change of its files holds from the
+    next micro-batch on, for all cells that this one reports. A map that repeats a
+    code is refused and logged, and the one before stays in force (``PaytypeMaps``).
+
+    ``history`` is a path of window cells of earlier records (``save_cells``): complete and
+    update mode add them to what the stream has counted, so a stream goes on where a
+    batch ended, or where another stream's state did, without reading records again.
+    The watermark starts anew, and append mode, which has no earlier windows to give,
+    takes none. The cells are read per micro-batch and must not change.
 
     Rows read and kept are in the progress under ``observedMetrics``; they are for
     monitoring, as a repeated task counts again. The number of state partitions is
     ``spark.sql.shuffle.partitions`` at the first start on a checkpoint.
     """
     report = report_named(name)
+    session, cdr = _source(spark, [(report, out_path)], cdr_path, checkpoint, output_mode, zone, max_files, max_file_age, archive, source_options)
+    if report.labelled or history is not None:
+        cells = stream_cells(clean_cdr(cdr, metrics=INTAKE_METRICS).withWatermark("event_time", watermark))
+        sink = _cell_sink(session, [(report, out_path)], checkpoint, paytype_map, output_mode, preview_rows, keep, history)
+        return _started(cells, sink, output_mode, checkpoint, trigger, query_name)
     if output_mode == "append" and not report.windowed:
-        raise ValueError(f"report {name} has no window to close, so it cannot run in append mode")
-    _check_output(spark, out_path, output_mode, checkpoint)
-    session = job_session(spark, zone)
-    cdr = read_cdr_stream(session, cdr_path, max_files, max_file_age, **(source_options or {}))
-    stream = streaming_report(name, cdr, paytype_map, watermark)
-    return _started(stream, report_sink(out_path, report, output_mode, preview_rows), output_mode, checkpoint, trigger, query_name)
-
-
-def _started(
-    stream: DataFrame,
-    sink: Callable[[DataFrame, int], None],
-    output_mode: str,
-    checkpoint: str,
-    trigger: dict[str, object] | None,
-    query_name: str | None,
-) -> StreamingQuery:
-    writer = (
-        stream.writeStream.outputMode(output_mode)
-        .foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "30 seconds"}))
-    )
-    return (writer.queryName(query_name) if query_name else writer).start()
+        stream = daily_revenue_closing(clean_cdr(cdr, metrics=INTAKE_METRICS), watermark, session.conf.get(ZONE))
+    else:
+        stream = streaming_report(name, cdr, watermark=watermark)
+    return _started(stream, report_sink(out_path, report, output_mode, preview_rows, keep), output_mode, checkpoint, trigger, query_name)
 
 
 def stream_reports(
@@ -161,45 +165,122 @@ def stream_reports(
     cdr_path: str,
     out_base: str,
     checkpoint: str,
-    paytype_map: DataFrame | None = None,
+    paytype_map: str | DataFrame | None = None,
     output_mode: str = "complete",
     watermark: str = "10 minutes",
     trigger: dict[str, object] | None = None,
     max_files: int | None = 5,
     zone: str | None = "UTC",
     query_name: str | None = None,
+    preview_rows: int = 0,
     source_options: dict[str, object] | None = None,
-    max_file_age: str = ANY_AGE,
+    max_file_age: str | None = None,
+    archive: str | None = None,
+    keep: int | None = None,
+    history: str | None = None,
 ) -> StreamingQuery:
     """Starts one query that keeps several reports, each at ``out_base/<report>``.
 
     The files are scanned once and one state of window cells serves all reports;
     labels are joined to cells. Modes and parts are those of ``stream_report``, with
-    two exceptions that follow from cells: only windowed reports append, and only
-    those whose groups are cells (by payment-type code) update.
+    what follows from cells:
+
+    - ``update``: changed cells say which windows and days to derive again, from cells
+      that the query has written down (``CellStore``). The watermark closes windows for
+      all reports, so the daily one drops late records too.
+    - ``append``: a day is written when a window of a later day closes.
     """
-    reports = [report_named(name) for name in names]
-    if output_mode == "append" and not all(report.windowed for report in reports):
-        raise ValueError("the daily report has no window to close, so it cannot run in append mode")
-    if output_mode == "update" and not all(report.windowed and not report.labelled for report in reports):
-        raise ValueError("in update mode only the reports by payment-type code can share a query")
-    if paytype_map is None and any(report.labelled for report in reports):
-        raise ValueError("a labelled report needs a payment-type map")
-    out = out_base.rstrip("/")
-    for report in reports:
-        _check_output(spark, f"{out}/{report.name}", output_mode, checkpoint)
-    session = job_session(spark, zone)
-    cdr = read_cdr_stream(session, cdr_path, max_files, max_file_age, **(source_options or {}))
+    reports = [(report_named(name), f"{out_base.rstrip('/')}/{name}") for name in names]
+    session, cdr = _source(spark, reports, cdr_path, checkpoint, output_mode, zone, max_files, max_file_age, archive, source_options)
     cells = stream_cells(clean_cdr(cdr, metrics=INTAKE_METRICS).withWatermark("event_time", watermark))
-    map_bytes = check_paytype_map(paytype_map)[1] if paytype_map is not None else None
+    sink = _cell_sink(session, reports, checkpoint, paytype_map, output_mode, preview_rows, keep, history)
+    return _started(cells, sink, output_mode, checkpoint, trigger, query_name)
+
+
+def _source(
+    spark: SparkSession,
+    reports: Sequence[tuple[Report, str]],
+    cdr_path: str,
+    checkpoint: str,
+    output_mode: str,
+    zone: str | None,
+    max_files: int | None,
+    max_file_age: str | None,
+    archive: str | None,
+    options: dict[str, object] | None,
+) -> tuple[SparkSession, DataFrame]:
+    """The session of a query and its stream of records, after a check of the outputs."""
+    for _, path in reports:
+        _check_output(spark, path, output_mode, checkpoint)
+    session = job_session(spark, zone)
+    return session, read_cdr_stream(session, cdr_path, max_files, max_file_age, archive, **(options or {}))
+
+
+def _cell_sink(
+    session: SparkSession,
+    reports: Sequence[tuple[Report, str]],
+    checkpoint: str,
+    paytype_map: str | DataFrame | None,
+    output_mode: str,
+    preview_rows: int,
+    keep: int | None,
+    history: str | None,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` callback that derives and writes reports from a micro-batch of window cells."""
+    labelled = [report.name for report, _ in reports if report.labelled]
+    if labelled and paytype_map is None:
+        raise ValueError(f"report {labelled[0]} needs a payment-type map")
+    if history is not None and output_mode == "append":
+        raise ValueError("append mode takes no history")
+    earlier = None if history is None else cell_keys(session.read.parquet(history))
+    folder = checkpoint.rstrip("/")
+    maps = PaytypeMaps(session, paytype_map, f"{folder}/paytype_maps") if labelled else None
+    store = CellStore(session, f"{folder}/cells")
+
+    def inputs(batch: DataFrame, batch_id: int) -> dict[bool, DataFrame]:
+        """The cells to derive reports from: those by window and those by day."""
+        if output_mode == "append" and not all(report.windowed for report, _ in reports):
+            return {True: batch, False: store.days_over(batch, batch_id)}
+        if output_mode != "update":
+            cells = batch if earlier is None else batch.unionByName(earlier)
+            return {True: cells, False: cells}
+        cells = store.merged(batch, batch_id)
+        cells = cells if earlier is None else cells.unionByName(earlier)
+        keys = {True: "bucket", False: "day"}
+        return {windowed: cells.join(batch.select(key).distinct(), key, "left_semi") for windowed, key in keys.items()}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for report in reports:
-                rows = label_paytype(batch, paytype_map, map_bytes=map_bytes) if report.labelled else batch
-                _write_batch(report.build(rows), f"{out}/{report.name}", report, output_mode, batch_id, 0)
+            # Also where no cell has closed: the map of the first micro-batch is the one to fall back on.
+            labels, size = maps.at(batch_id) if maps else (None, None)
+            if batch.isEmpty():
+                _log.info("micro-batch %d: no cells", batch_id)
+                return
+            cells = inputs(batch, batch_id)
+            for report, path in reports:
+                rows = cells[report.windowed]
+                if report.labelled:
+                    rows = label_paytype(rows, labels, map_bytes=size)
+                _write_batch(report.build(rows), path, report, output_mode, batch_id, preview_rows, keep)
         finally:
             batch.unpersist()
 
-    return _started(cells, write, output_mode, checkpoint, trigger, query_name)
+    return write
+
+
+def _started(
+    stream: DataFrame,
+    sink: Callable[[DataFrame, int], None],
+    output_mode: str,
+    checkpoint: str,
+    trigger: dict[str, object] | None,
+    query_name: str | None,
+) -> StreamingQuery:
+    writer = (
+        stream.writeStream.outputMode(output_mode)
+        .foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "30 seconds"}))
+    )
+    return (writer.queryName(query_name) if query_name else writer).start()

@@ -10,7 +10,7 @@ from uuid import uuid4
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-_ZONE = "spark.sql.session.timeZone"
+ZONE = "spark.sql.session.timeZone"
 _own_dirs: dict[str, str] = {}
 
 
@@ -133,5 +133,5 @@ def job_session(spark: SparkSession, zone: str | None) -> SparkSession:
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key) and own.conf.get(key, None) != value:
             own.conf.set(key, value)
     if zone is not None:
-        own.conf.set(_ZONE, zone)
+        own.conf.set(ZONE, zone)
     return own
