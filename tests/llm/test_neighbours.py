@@ -56,6 +56,80 @@ def test_op1_over_many_shards_keeps_its_recall(spark):
     assert np.mean([len(found[q] & {i for i, _ in want[q]}) / 5 for q in asked]) >= 0.95
 
 
+FULL = 8192
+
+
+def hot_table(kind):
+    """A full shard of which a third are near copies or multiples of one vector."""
+    rng = np.random.default_rng(11)
+    vectors, base = rng.normal(size=(FULL, 64)), rng.normal(size=64)
+    hot = FULL // 3
+    if kind == "multiples":
+        vectors[:hot] = base * rng.integers(1, 1000, size=(hot, 1))
+    elif kind != "random":
+        vectors[:hot] = base + float(kind) * np.linalg.norm(base) / 8 * rng.normal(size=(hot, 64))
+    asked = np.concatenate([rng.choice(hot, 100, replace=False), hot + rng.choice(FULL - hot, 100, replace=False)])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = {}
+    for at in asked:
+        cosine = np.round(unit @ unit[at], 13 if kind == "multiples" else 16)
+        cosine[at] = -2
+        want[int(at)] = np.lexsort((np.arange(FULL), -cosine))[:5].tolist()
+    return vectors, hot, want
+
+
+def check_recall(found, want, hot):
+    for copies in (True, False):
+        hits = [len(set(found[at]) & set(ids)) / 5 for at, ids in want.items() if (at < hot) == copies]
+        assert np.mean(hits) >= 0.95
+
+
+@pytest.mark.parametrize("kind", ["random", "1e-3", "1e-4"])
+def test_recall_of_a_full_shard(kind):
+    vectors, hot, want = hot_table(kind)
+    graph, order = hnsw.build(hnsw._unit(vectors))
+    assert hnsw._reached(graph.layers[0]).all()
+    asked = np.array(list(want))
+    query, ids, _ = hnsw.Shard(graph, vectors[order], np.arange(FULL + 1), order).nearest(asked, vectors[asked], 5, hnsw.SEARCH_WIDTH)
+    check_recall({at: ids[query == at].tolist() for at in want}, want, hot)
+
+
+def test_recall_among_multiples_of_one_vector(spark):
+    """One direction is one point; its ids come back in order."""
+    vectors, hot, want = hot_table("multiples")
+    table = spark.createDataFrame([(i, row) for i, row in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    graphs = hnsw.index(table, 5)
+    assert graphs.count() == 1
+    queries = table.filter(table.vec_id.isin(list(want)))
+    found = {}
+    for r in hnsw.search(graphs, queries, 5).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    check_recall(found, want, hot)
+    assert np.mean([found[at] == want[at] for at in want if at < hot]) >= 0.95
+
+
+def test_graphs_are_moved_once_whatever_the_queries(spark):
+    """The rows shuffled to the search are the graphs and, for each shard, the queries."""
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.random.default_rng(6).normal(size=(600, 8)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    graphs = hnsw.index(table, 5, shard_rows=200)
+    plan = hnsw.search(graphs, table, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(shard") == 1 and "FlatMapCoGroups" not in plan and "Join" not in plan
+
+
+def test_points_out_of_reach_are_linked():
+    """Two far groups without a link between them, one without a free slot."""
+    vectors = np.concatenate([np.random.default_rng(k).normal(size=(60, 4)) * 0.01 + centre for k, centre in enumerate(np.eye(4))])
+    graph, _ = hnsw.build(hnsw._unit(vectors))
+    cut = graph.layers[0].copy()
+    cut[cut % 7 == 3] = -1
+    cut[:60] = np.where(cut[:60] < 0, 1, cut[:60])
+    broken = hnsw.Graph(graph.vectors, [cut])
+    assert not hnsw._reached(cut).all()
+    hnsw._reach(broken)
+    assert hnsw._reached(broken.layers[0]).all()
+
+
 def test_graph_is_the_same_each_time_and_lists_are_bounded():
     vectors = np.random.default_rng(2).normal(size=(700, 8))
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)

@@ -1,15 +1,18 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Different vectors are dealt to shards by hash. Each shard is a layered graph kept as
-flat arrays: unit vectors, neighbour slots per layer (-1 where empty) and the entry
+Different directions are dealt to shards by hash. Each shard is a layered graph kept
+as flat arrays: unit vectors, neighbour slots per layer (-1 where empty) and the entry
 point. Points join in batches: a batch searches the graph as it stands, all its
 points in step, then links both ways, each list thinned to neighbours that are not
-nearer to one another. Queries go to all shards in blocks and the shards' results
-are merged by exact cosine.
+nearer to one another; points that this leaves out of reach are linked in the end.
+All is in double precision, as near copies differ by less than single precision holds.
+A shard's graph goes to one task, past which the queries stream; all points that a
+search finds are ranked by exact cosine and the shards' results are merged by it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -119,7 +122,7 @@ def build(vectors: np.ndarray, seed: int = 7) -> tuple[Graph, np.ndarray]:
     level = np.floor(-np.log(1 - np.random.default_rng(seed).random(n)) * LEVEL_SCALE).astype(np.int64)
     order = np.argsort(-level, kind="stable")
     level = level[order]
-    data = np.ascontiguousarray(vectors[order], np.float32)
+    data = np.ascontiguousarray(vectors[order], np.float64)
     layers = [
         np.full((int((level >= layer).sum()), 2 * LINKS if layer == 0 else LINKS), -1, np.int64)
         for layer in range(int(level[0]) + 1)
@@ -139,9 +142,44 @@ def build(vectors: np.ndarray, seed: int = 7) -> tuple[Graph, np.ndarray]:
             _link(graph, layer, points[inside], found[inside], near[inside])
             starts = found[:, :8]
         start = end
+    _reach(graph)
     return graph, order
 
 
+def _reached(slots: np.ndarray) -> np.ndarray:
+    """Which points of a layer the entry leads to."""
+    seen = np.zeros(len(slots) + 1, bool)  # the last stands for empty slots
+    seen[[0, -1]] = True
+    edge = np.array([0])
+    while len(edge):
+        ahead = np.unique(slots[edge])
+        edge = ahead[~seen[ahead]]
+        seen[edge] = True
+    return seen[:-1]
+
+
+def _reach(graph: Graph) -> None:
+    """Links points of layer 0 that cannot be reached, each to a near point that can.
+
+    That point takes it in a free slot; where no near one has any, a column is added.
+    """
+    while True:
+        seen = _reached(graph.layers[0])
+        if seen.all():
+            return
+        inside, outside = np.flatnonzero(seen), np.flatnonzero(~seen)
+        for start in range(0, len(outside), BATCH):
+            some = outside[start : start + BATCH]
+            near = graph.vectors[some] @ graph.vectors[inside].T
+            for point, order in zip(some, inside[np.argsort(-near, axis=1, kind="stable")[:, : 2 * LINKS]], strict=True):
+                slots = graph.layers[0]
+                free = (slots[order] < 0).any(1)
+                host = order[free.argmax()]
+                if not free.any():
+                    graph.layers[0] = slots = np.pad(slots, ((0, 0), (0, 1)), constant_values=-1)
+                slots[host, (slots[host] < 0).argmax()] = point
+
+
 def _link(graph: Graph, layer: int, points: np.ndarray, found: np.ndarray, near: np.ndarray) -> None:
     """Links new points of a layer to those found, and to near points of their own batch."""
     slots, data = graph.layers[layer], graph.vectors
@@ -192,121 +230,161 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _direction(vector: Column) -> Column:
+    """A key that vectors of one direction share: unit components as whole numbers of 2^-40.
+
+    Far above rounding and far below what a cosine in double precision can tell apart.
+    """
+    largest = F.array_max(F.transform(vector, F.abs))
+    scaled = F.transform(vector, lambda x: x / largest)
+    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda sum_, x: sum_ + x * x))
+    return F.transform(scaled, lambda x: F.round(x / norm * float(1 << 40)).cast("long"))
+
+
 def index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The graphs of all shards, one row each, saved in the shared folder.
 
-    ``vectors`` holds ``vec_id, embedding``. Equal vectors are one point, which
-    carries its ``k + 1`` smallest ids: more of them can never be among the ``k``
-    nearest, so a vector that a third of all rows repeat is one point too. Columns:
-    ``shard, dim, points, layers, ids`` with flat arrays as little-endian bytes.
+    ``vectors`` holds ``vec_id, embedding``. Vectors of one direction, copies and
+    multiples, are one point: their cosines differ by rounding only, so all have that
+    of the vector with the smallest id. The point carries its ``k + 1`` smallest ids:
+    more of them can never be among the ``k`` nearest, so a direction that a third of
+    all rows share is one point too. Vectors without an id, null, zero or
+    with a component that is null or not finite take no part; an empty table has no
+    graphs. Columns: ``shard, dim, points, layers, counts, ids`` with flat arrays as
+    little-endian bytes.
     """
     rows = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
         "vec_id", F.col("embedding").cast("array<double>").alias("v")
     )
-    nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    points = rows.distinct().withColumn("nth", nth).filter(F.col("nth") <= k + 1)
-    points = saved(points.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "points")
+    nth = F.row_number().over(Window.partitionBy("direction").orderBy("vec_id"))
+    points = rows.groupBy("vec_id", _direction(F.col("v")).alias("direction")).agg(F.min("v").alias("v"))
+    points = points.withColumn("nth", nth).filter(F.col("nth") <= k + 1).groupBy("direction")
+    points = saved(points.agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min_by("v", "vec_id").alias("v")), "points")
     shards = max(1, -(-points.count() // shard_rows))
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+    dealt = points.select("ids", "v", F.pmod(F.xxhash64("direction"), F.lit(shards)).cast("int").alias("shard"))
 
     def built(table: pa.Table) -> pa.Table:
         # The order of rows in a group may differ when a lost task is repeated: sorting makes the graph the same.
         rows = sorted(zip(*(table.column(name).to_pylist() for name in ("ids", "v")), strict=True))
-        ids, vectors = ([row[part] for row in rows] for part in (0, 1))
-        out: dict[str, list] = {name: [] for name in ("shard", "dim", "points", "layers", "ids")}
-        for dim in sorted({len(v) for v in vectors}):  # vectors of another length are a graph of their own
-            some = [i for i, v in enumerate(vectors) if len(v) == dim]
-            exact = np.array([vectors[i] for i in some])
-            graph, place = build(exact / np.linalg.norm(exact, axis=1, keepdims=True))
-            carried = np.full((len(some), k + 1), -1, np.int64)
-            for row, at in enumerate(place):
-                own = ids[some[at]]
-                carried[row, : len(own)] = own
-            valid = np.array([len(ids[some[at]]) for at in place], np.int64)
+        out: dict[str, list] = {name: [] for name in _INDEX.names}
+        for dim in sorted({len(v) for _, v in rows}):  # vectors of another length are a graph of their own
+            some = [row for row in rows if len(row[1]) == dim]
+            exact = np.array([v for _, v in some])
+            graph, place = build(_unit(exact))
+            ids = [some[at][0] for at in place]
             out["shard"].append(table.column("shard")[0].as_py())
             out["dim"].append(dim)
             out["points"].append(exact[place].astype("<f8").tobytes())
             out["layers"].append([layer.astype("<i4").tobytes() for layer in graph.layers])
-            out["ids"].append(np.concatenate([valid[:, None], carried], 1).astype("<i8").tobytes())
+            out["counts"].append(np.array([len(own) for own in ids], "<i4").tobytes())
+            out["ids"].append(np.array([i for own in ids for i in own], "<i8").tobytes())
         return pa.table(out, schema=_INDEX)
 
-    schema = "shard int, dim int, points binary, layers array<binary>, ids binary"
-    return saved(dealt.groupBy("shard").applyInArrow(built, schema), "graphs")
+    return saved(dealt.groupBy("shard").applyInArrow(built, _INDEX_SQL), "graphs")
 
 
+_INDEX_SQL = "shard int, dim int, points binary, layers array<binary>, counts binary, ids binary"
 _INDEX = pa.schema(
     [
         ("shard", pa.int32()),
         ("dim", pa.int32()),
         ("points", pa.binary()),
         ("layers", pa.list_(pa.binary())),
+        ("counts", pa.binary()),
         ("ids", pa.binary()),
     ]
 )
 
 
-def _opened(row: dict, k: int) -> tuple[Graph, np.ndarray, np.ndarray]:
-    exact = np.frombuffer(row["points"], "<f8").reshape(-1, row["dim"])
-    unit = exact / np.linalg.norm(exact, axis=1, keepdims=True)
-    layers = [
-        np.frombuffer(layer, "<i4").reshape(-1, 2 * LINKS if level == 0 else LINKS).astype(np.int64)
-        for level, layer in enumerate(row["layers"])
-    ]
-    ids = np.frombuffer(row["ids"], "<i8").reshape(len(exact), k + 2)
-    return Graph(unit.astype(np.float32), layers), exact, ids
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    scaled = vectors / np.abs(vectors).max(1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
+@dataclass
+class Shard:
+    """A graph with its points' vectors and ids, those of point ``p`` from ``first[p]`` to ``first[p + 1]``."""
+
+    graph: Graph
+    vectors: np.ndarray
+    first: np.ndarray
+    ids: np.ndarray
+
+    @staticmethod
+    def opened(row: dict) -> Shard:
+        vectors = np.frombuffer(row["points"], "<f8").reshape(-1, row["dim"])
+        layers = [
+            np.frombuffer(layer, "<i4").reshape(*((len(vectors), -1) if level == 0 else (-1, LINKS))).astype(np.int64)
+            for level, layer in enumerate(row["layers"])
+        ]
+        first = np.concatenate([[0], np.cumsum(np.frombuffer(row["counts"], "<i4"))])
+        return Shard(Graph(_unit(vectors), layers), vectors, first, np.frombuffer(row["ids"], "<i8"))
+
+    def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, id and cosine of the ``k`` nearest other vectors found for each query.
+
+        Every point found is ranked with all it carries.
+        """
+        out = []
+        points, _ = self.graph.nearest(_unit(queries), width, width)
+        for own, query, found in zip(ids, queries, points, strict=True):
+            found = found[found >= 0]
+            vectors = self.vectors[found]
+            cosine = (vectors @ query) / (np.linalg.norm(vectors, axis=1) * np.linalg.norm(query))
+            theirs = np.concatenate([self.ids[self.first[p] : self.first[p + 1]] for p in found])
+            cosine = np.repeat(cosine, self.first[found + 1] - self.first[found])
+            theirs, cosine = theirs[theirs != own], cosine[theirs != own]
+            best = np.lexsort((theirs, -cosine))[:k]
+            out.append((np.full(len(best), own), theirs[best], cosine[best]))
+        return tuple(np.concatenate(columns) for columns in zip(*out, strict=True))
+
+
+_FOUND = "query_id long, vec_id long, score double"
 
 
 def search(graphs: DataFrame, queries: DataFrame, k: int, width: int = SEARCH_WIDTH) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query, but never itself.
 
-    ``graphs`` is an ``index`` made with the same ``k``. Each shard searches every
-    block of queries and gives ``k`` rows per query; these are merged by the exact
-    cosine in double precision, ties to the smaller id. Queries without an id or
-    with an unusable vector take no part; of repeated ids the smallest vector is
-    asked. Vectors of another length than the query's are no candidates.
+    ``graphs`` is an ``index`` made with the same ``k``. Every query goes to every
+    shard, but a shard's graph is moved once, to the task in which its queries stream
+    past it, and gives ``k`` rows per query; these are merged by the exact cosine in
+    double precision, ties to the smaller id. Queries without an id or with an
+    unusable vector take no part; of repeated ids the smallest vector is asked.
+    Vectors of another length than the query's are no candidates. No graphs or no
+    queries give no rows; other columns are not read.
     """
     shards = (graphs.agg(F.max("shard").alias("last")).first()["last"] or 0) + 1
     asked = queries.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    asked = asked.groupBy("vec_id").agg(F.min(F.col("embedding").cast("array<double>")).alias("v"))
-    asked = saved(asked, "queries")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    dealt = asked.select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
-    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def one(graph_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        out_query, out_id, out_score = [], [], []
-        ids = query_rows.column("vec_id").to_numpy()
-        asked_vectors = query_rows.column("v").to_pylist()
-        for row in graph_rows.to_pylist():
-            mine = [i for i, v in enumerate(asked_vectors) if len(v) == row["dim"]]
-            if not mine:
-                continue
-            graph, exact, carried = _opened(row, k)
-            asked = np.array([asked_vectors[i] for i in mine])
-            unit = (asked / np.linalg.norm(asked, axis=1, keepdims=True)).astype(np.float32)
-            # One more point than asked for: the query itself may be among them.
-            points, _ = graph.nearest(unit, 2 * k + 2, width)
-            norms = np.linalg.norm(exact, axis=1)
-            for at, found in zip(mine, points, strict=True):
-                found = found[found >= 0]
-                v = np.array(asked_vectors[at])
-                cosine = (exact[found] @ v) / (norms[found] * np.linalg.norm(v))
-                n = carried[found, 0]
-                own = np.repeat(cosine, n)
-                their = np.concatenate([carried[p, 1 : 1 + c] for p, c in zip(found, n, strict=True)])
-                other = their != ids[at]
-                own, their = own[other], their[other]
-                best = np.lexsort((their, -own))[:k]
-                out_query += [ids[at]] * len(best)
-                out_id += their[best].tolist()
-                out_score += own[best].tolist()
-        return pa.table({"query_id": pa.array(out_query, pa.int64()), "vec_id": pa.array(out_id, pa.int64()), "score": pa.array(out_score, pa.float64())})
-
-    found = (
-        spread.groupBy("shard", "block")
-        .cogroup(dealt.groupBy("shard", "block"))
-        .applyInArrow(one, "query_id long, vec_id long, score double")
+    asked = saved(asked.groupBy("vec_id").agg(F.min(F.col("embedding").cast("array<double>")).alias("v")), "queries")
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    # Graphs sort before the queries of their shard.
+    together = graphs.withColumn("asks", F.lit(0)).unionByName(
+        asked.select(every, "vec_id", "v", F.lit(1).alias("asks")), allowMissingColumns=True
     )
+    ordered = together.repartition(shards, "shard").sortWithinPartitions("shard", "asks", "dim", "vec_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, opened = None, {}
+        for batch in batches:
+            shard, asks = (batch.column(batch.schema.get_field_index(name)).to_numpy() for name in ("shard", "asks"))
+            cuts = np.flatnonzero(np.diff(shard) | np.diff(asks)) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(shard)], strict=True):
+                rows = batch.slice(start, end - start)
+                if shard[start] != at:
+                    at, opened = shard[start], {}
+                if not asks[start]:
+                    opened |= {row["dim"]: Shard.opened(row) for row in rows.select(_INDEX.names).to_pylist()}
+                    continue
+                for block in range(0, rows.num_rows, QUERY_BLOCK):
+                    some = rows.slice(block, QUERY_BLOCK).select(["vec_id", "v"]).to_pydict()
+                    for dim, own in opened.items():
+                        mine = [i for i, v in enumerate(some["v"]) if len(v) == dim]
+                        if mine:
+                            ids, vectors = np.array([some["vec_id"][i] for i in mine]), np.array([some["v"][i] for i in mine])
+                            found = own.nearest(ids, vectors, k, width)
+                            names = ("query_id", "vec_id", "score")
+                            yield pa.RecordBatch.from_pydict({n: pa.array(c) for n, c in zip(names, found, strict=True)})
+
+    found = ordered.mapInArrow(run, _FOUND)
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", nth).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
