@@ -30,6 +30,40 @@ def test_curve_visits_neighbouring_cells(spark, n, bits):
     assert (np.abs(np.diff(places, axis=0)).sum(1) == 1).all()
 
 
+def curve_by_hand(axes, bits):
+    """Index of one cell with plain integers, a cell at a time: undo excess turns, Gray code, interleave."""
+    x, n = list(axes), len(axes)
+    q = 1 << (bits - 1)
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                swap = (x[0] ^ x[i]) & (q - 1)
+                x[0] ^= swap
+                x[i] ^= swap
+        q >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    flip, q = 0, 1 << (bits - 1)
+    while q > 1:
+        if x[n - 1] & q:
+            flip ^= q - 1
+        q >>= 1
+    x = [value ^ flip for value in x]
+    return int("".join(str(value >> bit & 1) for bit in range(bits - 1, -1, -1) for value in x), 2)
+
+
+def test_every_document_is_at_its_place_on_the_curve(spark):
+    """The rows of the operator against steps and index worked out in plain Python."""
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for r in driver.queries()["op6_hilbert_shards"](spark, SMALL).collect():
+        doc, cells = docs[r.doc_id], 1 << hilbert.BITS
+        size = min(int(np.floor(np.log2(len(doc.text.encode()) + 2) * (cells / 32))), cells - 1)
+        names = [zlib.crc32(name.encode()) % cells for name in (doc.source, doc.lang)]
+        assert r.curve == curve_by_hand([size, *names], hilbert.BITS)
+
+
 def check_shards(rows, docs, shards=8):
     want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs)
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
@@ -71,6 +105,50 @@ def test_files_of_shards_prune_on_several_columns(spark):
     assert sum(width) / 4 < len(set(spread.values()))
 
 
+def test_shards_are_not_written_where_the_id_is_no_key(spark):
+    rows = [(1, "a"), (2, "b"), (3, "c")]
+    for more, message in (((None, "d"), "document None"), ((2, "d"), "document 2 has 2 rows")):
+        docs = spark.createDataFrame([(i, t, "en", "s") for i, t in [*rows, more]], "doc_id long, text string, lang string, source string")
+        path = new_path(spark, "refused")
+        with pytest.raises(ValueError, match=message):
+            hilbert.write_shards(docs, hilbert.hilbert_shards(docs, 2), path)
+    docs = docs.dropDuplicates(["doc_id"])
+    placed = hilbert.hilbert_shards(docs, 2)
+    with pytest.raises(ValueError, match="1 rows and 0 places"):
+        hilbert.write_shards(docs, placed.filter("doc_id <> 3"), path)
+    hilbert.write_shards(docs, placed, path)
+    assert sorted(r.doc_id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def fingerprint_by_definition(text, bins=syncmers.BINS):
+    """Anchors found one k-mer at a time, the smallest kept of each bin."""
+    places, hashes = syncmers.anchors(text)
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        inner = syncmers._windows(points, syncmers.S).tolist() if len(points) >= syncmers.S else []
+    width = syncmers.K - syncmers.S + 1
+    closed = [i for i in range(len(text) - syncmers.K + 1) if min(inner[i : i + width]) in (inner[i], inner[i + width - 1])]
+    assert places.tolist() == (closed or [0] * bool(text))
+    least = {}
+    for value in hashes.tolist():
+        least[value % bins] = min(value, least.get(value % bins, value))
+    mask = 2**64 - 1
+
+    def splitmix(x):
+        x = (x + 0x9E3779B97F4A7C15) & mask
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    return "".join(f"{splitmix(least[b]) >> 48 | 1 if b in least else 0:04x}" for b in range(bins))
+
+
+def test_fingerprints_by_definition(spark):
+    texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    for text in [*texts, "", "short", LONG[:3000], "日本語の文章です。" * 9]:
+        assert syncmers.written(syncmers.fingerprint(text)) == fingerprint_by_definition(text)
+
+
 def test_closed_syncmers_by_definition():
     text, k, s = "the quick brown fox jumps over the lazy dog, and the quick brown fox rests" * 3, 12, 5
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)

@@ -115,8 +115,17 @@ def hilbert_shards(documents: DataFrame, shards: int = 8, bits: int = BITS) -> D
 def write_shards(documents: DataFrame, shards: DataFrame, path: str) -> None:
     """Writes the documents in one folder per shard, each file sorted along the curve.
 
-    ``doc_id`` must be a key here, as documents and their places are joined by it.
+    Documents and their places are joined by ``doc_id``, which must be a key on both
+    sides: ValueError where it is null or stands twice, or where the two differ, before
+    anything is written. No documents write no files.
     """
+    places = shards.groupBy("doc_id").agg(F.count("*").alias("places"))
+    rows = documents.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    alike = (F.col("places") == 1) & (F.col("rows") == 1)
+    odd = rows.join(places, "doc_id", "full").filter(~F.coalesce(alike, F.lit(False))).limit(1).collect()
+    if odd:
+        found = odd[0]
+        raise ValueError(f"document {found.doc_id} has {found.rows or 0} rows and {found.places or 0} places")
     placed = documents.join(shards.select("doc_id", F.col("shard").alias("_shard"), F.col("slot").alias("_slot")), "doc_id")
     ordered = placed.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot")
     ordered.withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path)
