@@ -230,15 +230,26 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _direction(vector: Column) -> Column:
-    """A key that vectors of one direction share: unit components as whole numbers of 2^-40.
+def _with_directions(rows: DataFrame) -> DataFrame:
+    """Adds a key that vectors of one direction share: unit components as whole numbers of 2^-40.
 
     Far above rounding and far below what a cosine in double precision can tell apart.
     """
-    largest = F.array_max(F.transform(vector, F.abs))
-    scaled = F.transform(vector, lambda x: x / largest)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda sum_, x: sum_ + x * x))
-    return F.transform(scaled, lambda x: F.round(x / norm * float(1 << 40)).cast("long"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(1)
+            sizes, values = np.diff(vectors.offsets.to_numpy()), vectors.flatten().to_numpy()
+            starts = np.cumsum(sizes) - sizes
+            keys: list[bytes] = [b""] * len(sizes)
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                whole = np.rint(_unit(values[starts[at][:, None] + np.arange(size)]) * float(1 << 40)).astype("<i8")
+                for row, key in zip(at, whole, strict=True):
+                    keys[row] = key.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], ["vec_id", "v", "direction"])
+
+    return rows.mapInArrow(run, "vec_id long, v array<double>, direction binary")
 
 
 def index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -254,10 +265,10 @@ def index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame
     little-endian bytes.
     """
     rows = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
-        "vec_id", F.col("embedding").cast("array<double>").alias("v")
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")
     )
     nth = F.row_number().over(Window.partitionBy("direction").orderBy("vec_id"))
-    points = rows.groupBy("vec_id", _direction(F.col("v")).alias("direction")).agg(F.min("v").alias("v"))
+    points = _with_directions(rows).groupBy("vec_id", "direction").agg(F.min("v").alias("v"))
     points = points.withColumn("nth", nth).filter(F.col("nth") <= k + 1).groupBy("direction")
     points = saved(points.agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min_by("v", "vec_id").alias("v")), "points")
     shards = max(1, -(-points.count() // shard_rows))
