@@ -237,6 +237,8 @@ def _cell_sink(
     maps = PaytypeMaps(session, paytype_map, f"{folder}/paytype_maps") if labelled else None
     store = CellStore(session, f"{folder}/cells")
 
+    kept: list[DataFrame] = []
+
     def inputs(batch: DataFrame, batch_id: int) -> dict[bool, DataFrame]:
         """The cells to derive reports from: those by window and those by day."""
         if output_mode == "append" and not all(report.windowed for report, _ in reports):
@@ -244,7 +246,8 @@ def _cell_sink(
         if output_mode != "update":
             cells = batch if earlier is None else batch.unionByName(earlier)
             return {True: cells, False: cells}
-        cells = store.merged(batch, batch_id)
+        cells = store.merged(batch, batch_id).persist()  # read once for all reports
+        kept.append(cells)
         cells = cells if earlier is None else cells.unionByName(earlier)
         keys = {True: "bucket", False: "day"}
         return {windowed: cells.join(batch.select(key).distinct(), key, "left_semi") for windowed, key in keys.items()}
@@ -264,7 +267,9 @@ def _cell_sink(
                     rows = label_paytype(rows, labels, map_bytes=size)
                 _write_batch(report.build(rows), path, report, output_mode, batch_id, preview_rows, keep)
         finally:
-            batch.unpersist()
+            for frame in (batch, *kept):
+                frame.unpersist()
+            kept.clear()
 
     return write
 
