@@ -49,7 +49,7 @@ def window_cells(parsed: DataFrame) -> DataFrame:
         F.when(is_usable(), bucket_start(F.col("event_time"), zone)).alias("bucket"),
         "paytype",
         F.when(F.col("event_time").isNotNull(), F.col("debit")).alias("debit"),
-        F.when(~is_usable(), F.col("cause")).alias("cause"),
+        "cause",
     )
     return (
         keyed.groupBy("bucket", "paytype", "cause")

@@ -253,11 +253,12 @@ def _cell_sink(
         return {windowed: cells.join(batch.select(key).distinct(), key, "left_semi") for windowed, key in keys.items()}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if output_mode != "complete" or len(reports) > 1 or preview_rows:
+            kept.append(batch.persist())
         try:
             # Also where no cell has closed: the map of the first micro-batch is the one to fall back on.
             labels, size = maps.at(batch_id) if maps else (None, None)
-            if batch.isEmpty():
+            if output_mode != "complete" and batch.isEmpty():
                 _log.info("micro-batch %d: no cells", batch_id)
                 return
             cells = inputs(batch, batch_id)
@@ -267,7 +268,7 @@ def _cell_sink(
                     rows = label_paytype(rows, labels, map_bytes=size)
                 _write_batch(report.build(rows), path, report, output_mode, batch_id, preview_rows, keep)
         finally:
-            for frame in (batch, *kept):
+            for frame in kept:
                 frame.unpersist()
             kept.clear()
 
