@@ -114,7 +114,6 @@ def cdr_by_day(spark, tmp_path):
 def test_a_stream_goes_on_from_the_cells_of_a_batch(spark, paytypes, tmp_path, mode):
     cdr_by_day(spark, tmp_path)
     tb.save_cells(spark, str(tmp_path / "old"), str(tmp_path / "cells"))
-    tb.run_batch  # the batch reports of the old records are the base of update mode
     options = {"output_mode": mode, "trigger": {"availableNow": True}, "max_files": 1, "history": str(tmp_path / "cells"), "watermark": "90 days"}
     paths = (str(tmp_path / "in"), str(tmp_path / "all"), str(tmp_path / "state"))
     tb.stream_reports(spark, list(tb.REPORTS), *paths, paytypes, **options).awaitTermination()

@@ -18,12 +18,14 @@ from .plans import batch_report, report_from_cells, run_batch, save_cells
 from .sinks import compact_report, preview, read_report, write_report
 from .sources import CDR_SCHEMA, read_cdr, read_cdr_stream, read_paytype_map, s3a_conf
 from .streaming import report_sink, stream_report, stream_reports, streaming_report
+from .workspace import clear_intermediates
 
 __all__ = [
     "CDR_SCHEMA",
     "REPORTS",
     "batch_report",
     "clean_cdr",
+    "clear_intermediates",
     "compact_report",
     "count_revenue_15min",
     "daily_revenue",

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 ZONE = "spark.sql.session.timeZone"
 _own_dirs: dict[str, str] = {}
+_new_paths: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,7 +36,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+    _new_paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_intermediates(spark: SparkSession) -> int:
+    """Deletes what this application has put in the shared folder through ``new_path``; returns how many paths that were.
+
+    Results that are not yet written read from there, so write them first. What other
+    applications keep in the folder stays.
+    """
+    paths = [path for path in _new_paths.pop(spark.sparkContext.applicationId, []) if exists(spark, path)]
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
 
 
 def scratch_path(spark: SparkSession, label: str, scratch: str | None, output: str) -> str:
