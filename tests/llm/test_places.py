@@ -211,18 +211,68 @@ def test_op9_fingerprints(spark, monkeypatch):
     rows = driver.queries()["op9_syncmers"](spark, SMALL).collect()
     check_fingerprints(rows, docs)
     assert np.mean([r.near_edited for r in rows]) > 0.25 and np.mean([r.near_next for r in rows]) < 0.05
-    monkeypatch.setattr(syncmers, "ROWS_PER_PARTITION", 7)  # many buckets
+    monkeypatch.setattr(syncmers, "BUCKET_BYTES", 20_000)  # many buckets
     check_fingerprints(syncmers.fingerprints(spark.read.parquet(f"{SMALL}/documents.parquet")).collect(), docs)
 
 
 def test_op9_edges(edge_docs, no_docs, monkeypatch):
     once = edge_docs.dropDuplicates(["doc_id", "text"])
     docs = sorted({(row[0], row[1]) for row in EDGES}, key=lambda row: -1 if row[0] is None else row[0], reverse=True)
-    for size in (4096, 2):
-        monkeypatch.setattr(syncmers, "ROWS_PER_PARTITION", size)
+    for size in (8 << 20, 200):
+        monkeypatch.setattr(syncmers, "BUCKET_BYTES", size)
         check_fingerprints(syncmers.fingerprints(once).collect(), docs)
         assert syncmers.fingerprints(edge_docs).count() == len(EDGES)
         assert syncmers.fingerprints(edge_docs.filter("doc_id = 2")).first().near_next == 1.0
     assert syncmers.fingerprints(no_docs).collect() == []
     table = syncmers.anchor_table(edge_docs).filter("doc_id = 1").collect()
     assert len(table) == 2 * len(syncmers.anchors(EDGES[0][1])[0])
+
+
+def test_hot_ids_and_repeated_rows_spread_over_buckets(spark, monkeypatch):
+    """A third without an id, a third of one id, a sixth of one row: results by brute force, buckets of like size."""
+    monkeypatch.setattr(syncmers, "BUCKET_BYTES", 4_000)
+    rows = [(None, f"text {k} without an id") for k in range(800)] + [(7, f"text {k} of one id") for k in range(800)]
+    rows += [(9, "one row many times")] * 400 + [(k, f"text {k} " * (k % 5)) for k in range(10, 410)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sizes = [r["count"] for r in syncmers._with_next(docs).groupBy("bucket").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 3 * np.median(sizes)
+
+    digest = {text: hashlib.md5(text.encode()).hexdigest() for _, text in rows}
+    rows.sort(key=lambda row: (-(syncmers.LAST if row[0] is None else row[0]), digest[row[1]]))
+    want = []
+    for (doc_id, text), (_, following) in zip(rows, rows[1:] + rows[:1], strict=True):
+        half = len(text) // 2
+        changed = text[: len(text) - half] + following[:half]
+        near = syncmers.likeness(syncmers.fingerprint(text), syncmers.fingerprint(following))
+        want.append((doc_id or -1, hashlib.sha256(changed.encode()).hexdigest(), near))
+    got = [(r.doc_id or -1, r.edited_sha256, r.near_next) for r in syncmers.fingerprints(docs).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_longest_passage_by_brute_force():
+    rng = np.random.default_rng(8)
+
+    def noise(n):
+        return "".join(rng.choice(list("abcdefghijklmnop "), n))
+
+    for _ in range(40):
+        shared, shorter = noise(int(rng.integers(60, 300))), noise(45)
+        a = noise(int(rng.integers(0, 200))) + shared + noise(50) + shorter
+        b = shorter + noise(int(rng.integers(0, 200))) + shared + noise(30)
+        start, next_start, length = syncmers.passage(syncmers.anchors(a), syncmers.anchors(b))
+        assert a[start : start + length] == b[next_start : next_start + length]
+        # At either end less than the widest gap between anchors is not seen.
+        assert a.index(shared) <= start and len(shared) - 2 * (syncmers.K - syncmers.S + 1) <= length <= len(shared) + 2
+    assert syncmers.passage(syncmers.anchors(noise(300)), syncmers.anchors(noise(300))) == (0, 0, 0)
+    assert syncmers.passage(syncmers.anchors("a" * 500), syncmers.anchors("a" * 300))[2] == 300
+    assert syncmers.passage(syncmers.anchors(""), syncmers.anchors("short"))[2] == 0
+    start, next_start, length = syncmers.passage(syncmers.anchors(LONG), syncmers.anchors(LONG))
+    assert start == next_start and length > len(LONG) - 2 * syncmers.K
+
+
+def test_op9_gives_the_passage_of_the_next_document(spark):
+    passage = "a passage that two documents share, long enough to hold a good many anchors, " * 2
+    docs = [(3, "first of them: " + passage + "ends"), (2, passage + "and more"), (1, "short"), (0, "other")]
+    rows = {r.doc_id: r for r in syncmers.fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[3].passage_start - rows[3].next_start == 15 and rows[3].passage_length > 100
+    assert (rows[1].passage_start, rows[1].next_start, rows[1].passage_length) == (None, None, 0)
