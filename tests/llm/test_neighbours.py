@@ -229,6 +229,7 @@ def test_one_document_of_a_class_without_ids_or_with_one_id_stays(spark):
 @pytest.mark.parametrize("block", [1024, 9])
 def test_large_group_of_near_copies_loses_no_link(spark, monkeypatch, block):
     monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    monkeypatch.setattr(near_duplicates, "PAIRS", block)
     random.seed(3)
     base = [f"w{random.randrange(5000)}" for _ in range(120)]
 
@@ -240,3 +241,21 @@ def test_large_group_of_near_copies_loses_no_link(spark, monkeypatch, block):
     rows = near_duplicates.near_duplicate_classes(table).collect()
     want = classes_by_hand(list(enumerate(texts)))
     assert as_counter(rows) == want and 1 < len({c for _, c in want}) < 110
+
+
+def test_pairs_of_a_hot_pivot_are_dealt_to_copies_of_its_text(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "PAIRS", 10)
+    pairs = spark.createDataFrame([(k, 0) for k in range(1, 301)] + [(400, 399)], "a long, b long")
+    dealt, copies = near_duplicates._with_copies(pairs)
+    sizes = {(r.b, r.copy): r["count"] for r in dealt.groupBy("b", "copy").count().collect()}
+    assert sum(sizes.values()) == 301 and max(sizes.values()) < 30 and sizes[(399, 0)] == 1
+    assert {(r.b, r.copy) for r in copies.collect()} == {(0, k) for k in range(30)} | {(399, 0)}
+
+
+def test_rows_that_repeat_go_before_the_texts_are_shuffled(spark, edge_docs):
+    """One shuffle of the texts, with map-side combine, that the join shares; no broadcast at any size."""
+    plan = near_duplicates.keep_one(edge_docs)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "ShuffledHashJoin" not in plan
+    plan = near_duplicates.keep_one(edge_docs)._jdf.queryExecution().executedPlan().toString()
+    texts = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(texts) == 2, plan  # the texts, and the keys of those that stay

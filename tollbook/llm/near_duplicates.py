@@ -6,7 +6,8 @@ shingles, and classes are what links connect. Every node is first compared with
 pivot, which joins most of a large group. What then lies in different classes of a
 bucket is compared in pairs of bounded blocks, each candidate pair in the first band
 that it shares; nodes of one class need no comparison. So no link between candidates
-is lost, no group is collected, and only links leave a block.
+is lost, no group is collected, and only links leave a block. Texts meet keys by
+sorting and merging at every size.
 """
 
 from __future__ import annotations
@@ -26,13 +27,8 @@ THRESHOLD = 0.8
 #: Nodes of a block, about; a task holds two blocks.
 BLOCK = 1024
 NO_ID = -(2**63)
-#: A table of keys is broadcast up to this size, by its rows; a larger one is joined by a shuffle.
-BROADCAST_BYTES, KEY_BYTES = 32 << 20, 64
-
-
-def _small(keys: DataFrame) -> DataFrame:
-    """Saved keys, marked for broadcast if their measured size allows it: the texts then stay where they are."""
-    return F.broadcast(keys) if keys.count() * KEY_BYTES <= BROADCAST_BYTES else keys
+#: Pairs of one pivot that are joined with one copy of its text.
+PAIRS = 1024
 
 
 def _node() -> Column:
@@ -59,11 +55,22 @@ def signed(documents: DataFrame) -> DataFrame:
     return map_slices(rows, "doc_id long, node binary, bands array<long>", work, most=1 << 20)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose bags overlap by ``threshold`` or more."""
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+def _with_copies(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs ``a, b`` each with the ``copy`` of ``b`` that it meets, and all ``b, copy``.
+
+    A ``b`` has a copy for some ``PAIRS`` of its pairs, so that a large group is no hot key.
+    """
+    copies = saved(pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("copies")), "copies")
+    copy = F.pmod(F.xxhash64("a"), F.col("copies")).cast("int").alias("copy")
+    each = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
+    return pairs.join(copies, "b").select("a", "b", copy), copies.select("b", each)
+
+
+def verified(texts: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``a, b`` of texts ``id, text, b, copy`` whose bags overlap by ``threshold`` or more; ``b`` null is none."""
+    left = texts.filter("b is not null").select(F.col("id").alias("a"), "b", "copy", F.col("text").alias("text_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).join(copies.hint("merge"), "b")
+    both = left.join(right.hint("merge"), ["b", "copy"]).select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, bag_b = None, None
@@ -174,16 +181,18 @@ def text_classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[Da
     shared = saved(shared.filter("n > 1").select("bucket", "pivot"), "buckets")
     members = saved(buckets.join(shared, "bucket"), "members")
     labels = saved(members.select("id", F.col("id").alias("comp")).distinct(), "labels")
+    # Each node meets the smallest pivot of its buckets first: that joins most of a large group.
+    first = members.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(F.min("pivot").alias("b"))
+    dealt, copies = _with_copies(first)
     # One document per text: its id and digest are the key, so a text with many copies is no hot key.
-    wanted = saved(labels.join(nodes, "id").select("id", "node", F.coalesce("least", F.lit(NO_ID)).alias("key")), "wanted")
+    wanted = labels.join(nodes, "id").join(dealt.withColumnRenamed("a", "id"), "id", "left")
+    wanted = saved(wanted.select("id", "b", "copy", "node", F.coalesce("least", F.lit(NO_ID)).alias("key")), "wanted")
     texts = documents.select(F.coalesce("text", F.lit("")).alias("text"), _node().alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("key"))
-    texts = saved(texts.join(_small(wanted), ["node", "key"]).select("id", "text").dropDuplicates(["id"]), "texts")
-
-    # Each node with the smallest pivot of its buckets first: that joins most of a large group.
-    first = members.filter("id <> pivot").groupBy(F.col("id").alias("a")).agg(F.min("pivot").alias("b"))
-    labels = merged(labels, saved(verified(first, texts, threshold), "links"))
+    texts = texts.join(wanted.hint("merge"), ["node", "key"]).select("id", "text", "b", "copy")
+    texts = saved(texts.dropDuplicates(["id"]), "texts")
+    labels = merged(labels, saved(verified(texts, copies, threshold), "links"))
     # Then whatever is still in different classes of a bucket.
-    rows = _block_keys(members, labels, BLOCK).join(texts.join(nodes.select("id", "bands"), "id"), "id")
+    rows = _block_keys(members, labels, BLOCK).join(texts.select("id", "text").join(nodes.select("id", "bands"), "id"), "id")
     links = rows.groupBy("bucket", "s", "t").applyInArrow(lambda table: _links_in_blocks(table, threshold), "a long, b long")
     labels = merged(labels, saved(links, "links"))
 
@@ -213,19 +222,12 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Of rows that repeat with the same id and text, one stays. Of different texts with
     the smallest id, or of a class without any id, that of the smallest digest stays.
     """
-    signs, classes = text_classes(documents, threshold)
-    rows = signs.select("node", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(classes, "node")
-    keeps = F.col("head") & (F.col("key") == F.coalesce("class_id", F.lit(NO_ID)))
-    found = rows.groupBy("node", "key").agg(F.count("*").alias("n"), F.max(keeps).alias("keeps"))
-    found = saved(found.filter("not keeps or n > 1"), "dropped")
+    _, classes = text_classes(documents, threshold)
+    kept = classes.filter("head").select("node", F.coalesce("class_id", F.lit(NO_ID)).alias("key"))
     names = documents.columns
     node, key = (unused(name, names) for name in ("node", "key"))
+    kept = kept.select(F.col("node").alias(node), F.col("key").alias(key))
     own = documents.withColumns({node: _node(), key: F.coalesce("doc_id", F.lit(NO_ID))})
-
-    def keys(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("node").alias(node), F.col("key").alias(key))
-
-    single = own.join(_small(keys(found)), [node, key], "left_anti")
-    repeats = _small(saved(keys(found.filter("keeps")), "repeats"))
-    repeated = own.join(repeats, [node, key], "left_semi").dropDuplicates([node, key])
-    return single.unionByName(repeated).select(*[f"`{name}`" for name in names])
+    # Repeated rows go before the shuffle, which the join then shares.
+    once = own.dropDuplicates([node, key])
+    return once.join(kept.hint("merge"), [node, key], "left_semi").select(*[f"`{name}`" for name in names])
