@@ -16,11 +16,15 @@ from ..operators.reports import Report, daily_revenue_closing, report_named
 from ..sinks.report_files import parts_path, preview, refuse_parts, write_report
 from ..sources.files import read_cdr_stream
 from ..sources.paytype_map import PaytypeMaps
-from ..workspace import ZONE, child_names, job_session
+from ..workspace import ZONE, child_names, delete, job_session
 from .cell_store import CellStore
 
 INTAKE_METRICS = "cdr_intake"
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+#: State partitions by default, or twice the cores if that is more; never more than the shuffle partitions.
+STATE_PARTITIONS = 32
+
 _log = logging.getLogger(__name__)
 
 
@@ -115,6 +119,7 @@ def stream_report(
     archive: str | None = None,
     keep: int | None = None,
     history: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Starts a report over the CSV files arriving in ``cdr_path``.
 
@@ -143,20 +148,22 @@ def stream_report(
     takes none. The cells are read per micro-batch and must not change.
 
     Rows read and kept are in the progress under ``observedMetrics``; they are for
-    monitoring, as a repeated task counts again. The number of state partitions is
-    ``spark.sql.shuffle.partitions`` at the first start on a checkpoint.
+    monitoring, as a repeated task counts again. ``state_partitions`` is fixed at the
+    first start on a checkpoint: 32 or twice the cores by default, at most
+    ``spark.sql.shuffle.partitions``. Each task on the state sends the driver metrics of
+    all its partitions, so what a micro-batch sends grows with their square.
     """
     report = report_named(name)
     session, cdr = _source(spark, [(report, out_path)], cdr_path, checkpoint, output_mode, zone, max_files, max_file_age, archive, source_options)
     if report.labelled or history is not None:
         cells = stream_cells(clean_cdr(cdr, metrics=INTAKE_METRICS).withWatermark("event_time", watermark))
         sink = _cell_sink(session, [(report, out_path)], checkpoint, paytype_map, output_mode, preview_rows, keep, history)
-        return _started(cells, sink, output_mode, checkpoint, trigger, query_name)
+        return _started(session, cells, sink, output_mode, checkpoint, trigger, query_name, state_partitions)
     if output_mode == "append" and not report.windowed:
         stream = daily_revenue_closing(clean_cdr(cdr, metrics=INTAKE_METRICS), watermark, session.conf.get(ZONE))
     else:
         stream = streaming_report(name, cdr, watermark=watermark)
-    return _started(stream, report_sink(out_path, report, output_mode, preview_rows, keep), output_mode, checkpoint, trigger, query_name)
+    return _started(session, stream, report_sink(out_path, report, output_mode, preview_rows, keep), output_mode, checkpoint, trigger, query_name, state_partitions)
 
 
 def stream_reports(
@@ -178,6 +185,7 @@ def stream_reports(
     archive: str | None = None,
     keep: int | None = None,
     history: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Starts one query that keeps several reports, each at ``out_base/<report>``.
 
@@ -194,7 +202,7 @@ def stream_reports(
     session, cdr = _source(spark, reports, cdr_path, checkpoint, output_mode, zone, max_files, max_file_age, archive, source_options)
     cells = stream_cells(clean_cdr(cdr, metrics=INTAKE_METRICS).withWatermark("event_time", watermark))
     sink = _cell_sink(session, reports, checkpoint, paytype_map, output_mode, preview_rows, keep, history)
-    return _started(cells, sink, output_mode, checkpoint, trigger, query_name)
+    return _started(session, cells, sink, output_mode, checkpoint, trigger, query_name, state_partitions)
 
 
 def _source(
@@ -226,7 +234,12 @@ def _cell_sink(
     keep: int | None,
     history: str | None,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` callback that derives and writes reports from a micro-batch of window cells."""
+    """A ``foreachBatch`` callback that derives and writes reports from a micro-batch of window cells.
+
+    A micro-batch that is read more than once is written to the checkpoint first. Kept by
+    ``persist`` it would stay a result of the state's tasks, and every job on it would
+    have as many and send the driver their metrics again.
+    """
     labelled = [report.name for report, _ in reports if report.labelled]
     if labelled and paytype_map is None:
         raise ValueError(f"report {labelled[0]} needs a payment-type map")
@@ -249,13 +262,17 @@ def _cell_sink(
         cells = store.merged(batch, batch_id).persist()  # read once for all reports
         kept.append(cells)
         cells = cells if earlier is None else cells.unionByName(earlier)
-        keys = {True: "bucket", False: "day"}
-        return {windowed: cells.join(batch.select(key).distinct(), key, "left_semi") for windowed, key in keys.items()}
+        # Merged, not broadcast: the keys are as many as the windows and days that changed.
+        changed = {windowed: batch.select(key).distinct().hint("merge") for windowed, key in ((True, "bucket"), (False, "day"))}
+        return {windowed: cells.join(keys, keys.columns, "left_semi") for windowed, keys in changed.items()}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if output_mode != "complete" or len(reports) > 1 or preview_rows:
-            kept.append(batch.persist())
+        written = None
         try:
+            if output_mode != "complete" or len(reports) > 1 or preview_rows:
+                written = f"{folder}/micro_batch/{batch_id}"
+                batch.write.mode("overwrite").parquet(written)
+                batch = session.read.schema(batch.schema).parquet(written)
             # Also where no cell has closed: the map of the first micro-batch is the one to fall back on.
             labels, size = maps.at(batch_id) if maps else (None, None)
             if output_mode != "complete" and batch.isEmpty():
@@ -271,17 +288,21 @@ def _cell_sink(
             for frame in kept:
                 frame.unpersist()
             kept.clear()
+            if written:
+                delete(session, written)
 
     return write
 
 
 def _started(
+    session: SparkSession,
     stream: DataFrame,
     sink: Callable[[DataFrame, int], None],
     output_mode: str,
     checkpoint: str,
     trigger: dict[str, object] | None,
     query_name: str | None,
+    state_partitions: int | None,
 ) -> StreamingQuery:
     writer = (
         stream.writeStream.outputMode(output_mode)
@@ -289,4 +310,11 @@ def _started(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
     )
-    return (writer.queryName(query_name) if query_name else writer).start()
+    writer = writer.queryName(query_name) if query_name else writer
+    given = session.conf.get(_PARTITIONS)
+    most = max(STATE_PARTITIONS, 2 * session.sparkContext.defaultParallelism)
+    session.conf.set(_PARTITIONS, str(state_partitions or min(int(given), most)))
+    try:
+        return writer.start()  # copies the settings; jobs on the micro-batches keep those of the caller
+    finally:
+        session.conf.set(_PARTITIONS, given)
