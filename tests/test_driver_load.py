@@ -52,6 +52,18 @@ def test_state_partitions_do_not_follow_those_of_shuffles(spark, tmp_path, given
     assert {op.numShufflePartitions for p in query.recentProgress for op in p.stateOperators} == {most}
 
 
+def test_a_stream_from_cells_does_not_run_its_state_tasks_again(spark, tmp_path, paytypes, plans):
+    sixty_days(tmp_path)
+    sixty_days(tmp_path, "old")
+    tb.save_cells(spark, str(tmp_path / "old"), str(tmp_path / "cells"))
+    drain(spark, list(tb.REPORTS), tmp_path, paytypes, history=str(tmp_path / "cells"))
+    assert not [name for name, plan in plans if "ExistingRDD" in plan]
+    for name in tb.REPORTS:
+        cdr = tb.read_cdr(spark, [str(tmp_path / "in"), str(tmp_path / "old")])
+        got = tb.read_report(spark, name, str(tmp_path / "all" / name))
+        assert sorted(map(str, got.collect())) == sorted(map(str, tb.batch_report(name, cdr, paytypes).collect()))
+
+
 def test_updates_of_many_days_broadcast_no_keys_and_keep_few_folders(spark, tmp_path, paytypes, plans):
     sixty_days(tmp_path)
     drain(spark, list(tb.REPORTS), tmp_path, paytypes, output_mode="update", watermark="90 days")
