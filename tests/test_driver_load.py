@@ -52,6 +52,18 @@ def test_state_partitions_do_not_follow_those_of_shuffles(spark, tmp_path, given
     assert {op.numShufflePartitions for p in query.recentProgress for op in p.stateOperators} == {most}
 
 
+def test_reports_of_a_micro_batch_do_not_run_its_state_tasks_again(spark, tmp_path, paytypes, plans):
+    sixty_days(tmp_path)
+    drain(spark, list(tb.REPORTS), tmp_path, paytypes)
+    assert len(plans) == 3 * len(tb.REPORTS)
+    assert not [name for name, plan in plans if "ExistingRDD" in plan]
+    assert not list((tmp_path / "state/micro_batch").iterdir())
+    for name in tb.REPORTS:
+        want = tb.batch_report(name, tb.read_cdr(spark, str(tmp_path / "in")), paytypes)
+        got = tb.read_report(spark, name, str(tmp_path / "all" / name))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_a_stream_from_cells_does_not_run_its_state_tasks_again(spark, tmp_path, paytypes, plans):
     sixty_days(tmp_path)
     sixty_days(tmp_path, "old")
