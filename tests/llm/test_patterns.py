@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
@@ -17,6 +18,7 @@ from conftest import SMALL
 from llm_edges import EDGES, edges, no_docs, edge_docs  # noqa: F401
 from tollbook.llm import pattern_packing
 from tollbook.llm.pattern_packing import fitted, patterns, pieces_in, plan, sequences
+from tollbook.llm.rows import saved
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,6 +78,29 @@ def test_copies_of_one_document_in_many_partitions(spark):
     assert used <= 1.03 * total / 128 + 1
 
 
+def test_sequences_of_empty_texts_are_taken_apart_without_a_python_batch(spark):
+    """A thousand empty texts are one sequence, so a batch of sequences would hold millions of pieces."""
+    docs = spark.range(0, 3000, 1, 3).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "").alias("text"))
+    found = sequences(docs, BYTES, 2)
+    rows = pieces_in(found)
+    taken, whole = (frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow") for frame in (rows, found))
+    assert taken == whole
+    assert check(rows.collect(), [(i, "") for i in range(3000)]) == 3
+
+
+def test_counts_of_pieces_are_a_file_per_core(spark, monkeypatch):
+    monkeypatch.setattr(pattern_packing, "saved", lambda df, label: kept.append(saved(df, label)) or kept[-1])
+    kept = []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        sequences(spark.read.parquet(f"{SMALL}/documents.parquet"), BYTES, 2)
+        assert 0 < len(kept[0].inputFiles()) <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def placed(histogram):
     """All pieces of a histogram by the plan: sequence -> sorted (offset, length)."""
     packing = plan(histogram)

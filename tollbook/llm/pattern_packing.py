@@ -13,7 +13,6 @@ sequence are shuffled, to be put together; full ones are sequences as they are.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +31,6 @@ LENGTH = 1024
 MOST_PATTERNS = 200_000
 FIT_STEPS = 400
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, ids binary"
 _ENCODED = "part int, doc_id long, piece int, start long, length int, nth long, ids binary"
 _INSIDE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("offset", pa.int64())])
 _SEQUENCE = "sequence_id long, n_tokens long, ids binary, pieces array<struct<doc_id: long, piece: int, start: long, length: long, offset: long>>"
@@ -226,7 +224,9 @@ def _numbered(pieces: DataFrame, length: int) -> tuple[DataFrame, np.ndarray]:
     back by what they measure, in the pieces' tasks where they are few.
     """
     short = pieces.filter(F.col("length") < length)
-    counts = saved(short.groupBy("part", "length").agg(F.count("*").alias("pieces")), "piece-counts")
+    counted = short.groupBy("part", "length").agg(F.count("*").alias("pieces"))
+    files = max(1, pieces.sparkSession.sparkContext.defaultParallelism)  # few rows: a file per core, not per shuffle partition
+    counts = saved(counted.coalesce(files), "piece-counts")
     histogram = np.zeros(length + 1, np.int64)
     for row in counts.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect():  # fewer rows than a sequence has ids
         histogram[row.length] = row.pieces
@@ -308,20 +308,12 @@ def sequences(documents: DataFrame, tokenizer: str, end_id: int, length: int = L
 
 
 def pieces_in(found: DataFrame) -> DataFrame:
-    """One row per piece as it stands in ``sequences``, with its ids and their checksum."""
+    """One row per piece as it stands in ``sequences``, with its ids and their checksum.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [field.split()[0] for field in PIECE.split(", ")]
-        for batch in batches:
-            for rows in slices(batch, "ids"):
-                out: list[tuple] = []
-                columns = (column_of(rows, name).to_pylist() for name in ("sequence_id", "ids", "pieces"))
-                for sequence, ids, inside in zip(*columns, strict=True):
-                    for p in inside:
-                        own = ids[4 * p["offset"] : 4 * (p["offset"] + p["length"])]
-                        out.append((p["doc_id"], p["piece"], p["start"], p["length"], zlib.crc32(own), sequence, p["offset"], own))
-                kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.binary()]
-                values = zip(*out, strict=True)
-                yield pa.record_batch([pa.array(v, kind) for v, kind in zip(values, kinds, strict=True)], names=names)
-
-    return found.select("sequence_id", "ids", "pieces").mapInArrow(run, PIECE)
+    Sequences are taken apart one at a time: one of empty texts holds as many pieces
+    as ids, so a batch of sequences has no useful bound.
+    """
+    own = F.substring("ids", (4 * F.col("p.offset") + 1).cast("int"), (4 * F.col("p.length")).cast("int"))
+    return found.select("sequence_id", "ids", F.explode("pieces").alias("p")).select(
+        "p.doc_id", "p.piece", "p.start", "p.length", F.crc32(own).alias("ids_crc32"), "sequence_id", "p.offset", own.alias("ids")
+    )
