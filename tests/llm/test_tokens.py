@@ -209,3 +209,11 @@ def test_op5_edges(edge_docs, no_docs):
     twice = packing.pieces(edge_docs, BYTES, 1, keep_ids=False).agg(F.sum("length").alias("n")).first()
     assert twice.n > sum(r.length for r in rows)
     assert packing.pieces(no_docs, BYTES, 1).collect() == [] == packing.sequences(no_docs, BYTES, 1).collect()
+
+
+def test_windows_of_empty_texts_are_taken_apart_without_a_python_batch(spark):
+    """Two thousand empty texts are one window, so a batch of windows would hold millions of pieces."""
+    docs = spark.range(0, 5000, 1, 3).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "").alias("text"))
+    rows = packing.pieces_in(packing.windows(docs, BYTES, 1))
+    assert "MapInArrow" not in rows._jdf.queryExecution().executedPlan().toString()
+    check_pieces(rows.collect(), [(i, "") for i in range(5000)])
